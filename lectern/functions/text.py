@@ -71,3 +71,11 @@ def present(items: Column) -> Column:
 
 def total(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+
+
+def is_json(c: Column) -> Column:
+    """Exactly one JSON value. The parser alone would accept text after a value, so the value must also be
+    well-formed as the only element of an array and as the only member of an object."""
+    def parses(*parts: Column) -> Column:
+        return F.try_parse_json(F.concat(*parts)).isNotNull()
+    return F.coalesce(parses(F.lit("["), c, F.lit("]")) & parses(F.lit('{"v":'), c, F.lit("}")), F.lit(False))

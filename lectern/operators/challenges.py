@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from lectern import vocab
-from lectern.functions.text import KEBAB, is_blank, present, strip
+from lectern.functions.text import KEBAB, is_blank, is_json, present, strip
 from lectern.operators.flags import ADVISORY, HARD, flag, union
 
 FILES = ["starter", "solution", "tests"]
@@ -56,7 +56,7 @@ def bad_tests(challenges: DataFrame, test_files: DataFrame) -> DataFrame:
     is_array = F.col("value").rlike(r"\A\s*\[") & ~F.col("value").rlike(r"\A\s*\[\s*\]\s*\z")
     incomplete = F.exists("cases", lambda c: ~F.coalesce(
         F.map_contains_key(c, "id") & F.map_contains_key(c, "expectedOutput"), F.lit(False)))
-    rule = (F.when(F.try_parse_json("value").isNull(), "tests_not_json").when(~is_array, "tests_not_array")
+    rule = (F.when(~is_json(F.col("value")), "tests_not_json").when(~is_array, "tests_not_array")
             .when(F.coalesce(incomplete, F.lit(True)), "test_incomplete"))
     judged = test_files.withColumn("cases", cases).withColumn("found", rule).filter("found is not null")
     used = _references(challenges).filter("role = 'tests'")

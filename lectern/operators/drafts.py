@@ -213,12 +213,16 @@ def strip_comments(texts: DataFrame, column: str = "md") -> DataFrame:
     comment opener inside code is never seen. A comment may hold fence lines, and an unclosed one runs
     to the end. Marks tell lines emptied here from lines that were blank before.
     """
-    fence = rf"(?<![^\n])[{SPACE}]*```[^\n]*(?:\n.*?(?:(?<=\n)[{SPACE}]*```[^\n]*|\z)|\z)"
+    def fence(end):
+        return rf"(?<![^\n])[{SPACE}]*```[^\n]*(?:\n.*?(?:(?<=\n)[{SPACE}]*```[^\n]*|{end})|{end})"
+
+    text_end = r"\z"
     comment = r"<!--[^\n]*?(?:-->|(\n).*?(?:-->|\z)|\z)"
     only_marks = rf"[{SPACE}]*{_MARK}[{SPACE}{_MARK}]*"
-    marked = F.regexp_replace(column, rf"(?s)({fence})|{comment}", f"$1{_MARK}$2{_MARK}")
-    for pattern, to in [(rf"(?s)({fence}){_MARK}{_MARK}", "$1"), (rf"(?:\n{only_marks})+\z", ""),
-                        (rf"(?m)^{only_marks}(?:\n|\z)", ""), (_MARK, "")]:
+    marked = F.regexp_replace(column, rf"(?s)({fence(text_end)})|{comment}", f"$1{_MARK}$2{_MARK}")
+    marked_end = rf"(?={_MARK}{_MARK}\z)"
+    for pattern, to in [(rf"(?s)({fence(marked_end)}){_MARK}{_MARK}", "$1"), (rf"(?dm)^{only_marks}\n", ""),
+                        (rf"(?:\A|\n){only_marks}\z", ""), (_MARK, "")]:
         marked = F.regexp_replace(marked, pattern, to)
     return texts.withColumn(column, marked)
 

@@ -31,12 +31,12 @@ VISUAL = (f"'type: ' || {case('(d + g) % 4', [lit('chart'), lit('flowchart'), li
 BASH = (f"'$ anvil --port ' || length(x) || {NL} || 'npm install @scope/kit@' || (d % 3) || '.' || (length(x) % 4) || ' express@latest left-pad@^1.' || (g % 2) || {NL} || "
         f"CASE WHEN d % 4 = 0 THEN 'foundryup' WHEN d % 4 = 1 THEN 'cargo new demo' ELSE '  # solana confirm <SIGNATURE>' END")
 PYTHON = case("d % 4", [lit("def f():\n    return 1  # a — b"), lit("    indented = 1"), lit("# note\nelif x:"), lit("x = 1 – 2")])
-RUST = case("(d + g) % 9", [
+RUST = case("(CAST(floor(d / 8) AS INT) + g) % 9", [
     lit("use anchor_lang::prelude::*;\n#[program]\nmod demo { }"), lit("pub owner: Address,\npub bump: u8, // b"), lit("Pending,\nBad(String),"),
     lit("fn check(&self) -> bool {\n    true\n}"), lit("self.count += 1;"), lit("let v = serde_json::to_string(&x)?;\nif v { ... }"),
     lit("use tokio::time;\nmod engine;\nuse engine::run;\npub fn start(a: u8) { }\nfn run_all() -> u8 { clap::get(1) }"), lit("let y = foo(a, {"),
     lit("// only a comment")])
-TS = case("(d + g) % 8", [
+TS = case("(CAST(floor(d / 8) AS INT) + g) % 8", [
     lit("import { address, type Rpc as R } from '@solana/kit';\nexport const a = address('x');"), lit("const b = address(1) + Rpc;\nexpress();"),
     lit("import express from 'express'\nconst list = [1,"), lit("function pay(amount) { return fetch(amount); } // URL"),
     lit("/* URL */\nexport interface A {}\nexport function go() {}"), lit('declare_id("<your key>")'), lit("import x from 'other';\nconst c = (a) => a"),
@@ -44,7 +44,7 @@ TS = case("(d + g) % 8", [
 TOML = (f"'[dependencies]' || {NL} || 'clap = \"4.' || (d % 5) || '\"' || {NL} || CASE WHEN d % 3 = 0 THEN 'clap = \"2.33.1\"' ELSE '# none' END || {NL} || "
         f"'serde = {{ version = \"1.0\", features = [\"derive\", \"rc\"] }}' || {NL} || 'tokio = {{ version = \"1.' || (g % 3 + d % 2 * 10) || '\", features = [\"f' || (g % 3) || '\"] }}' || {NL} || "
         f"'anchor-lang-v2 = {{ git = \"https://example.org/' || (d % 3) || '.git\", branch = \"next\" }}'")
-JSON = case("d % 3", [lit('{"a": [1, 2]}'), lit("{a: 1}"), lit("")])
+JSON = case("CAST(floor(d / 8) AS INT) % 3", [lit('{"a": [1, 2]}'), lit("{a: 1}"), lit("")])
 BODY = case("(g + d) % 8", [BASH, VISUAL, PYTHON, RUST, TS, TOML, JSON, VISUAL])
 MARK = f"CASE WHEN (g + d) % 8 IN (3, 4) AND g % 2 = 0 THEN '<!-- verify: expect-fail reason ' || g || ' -->' || {NL} ELSE '' END"
 PROSE = (f"CASE WHEN (d + i) % 13 = 0 THEN '<!-- only a comment -->' WHEN (d + i) % 13 = 5 THEN x || ' <!-- open' || {NL} || 'still -->' "
