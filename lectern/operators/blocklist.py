@@ -33,7 +33,5 @@ def _by_anchor(low: DataFrame, keys: list[str], phrases: DataFrame) -> DataFrame
         F.transform(F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>")),
                     lambda i, n=n: F.substring(F.col("_low"), i, F.lit(n))) for n in sizes]))
     offered = low.select(*keys, F.explode(F.array_distinct(runs)).alias("_anchor"))
-    candidates = (offered.join(anchored, "_anchor").select(*keys, "phrase").distinct()
-                  .groupBy(*keys).agg(F.collect_list("phrase").alias("_candidates")))
-    return (low.join(candidates, keys)
-            .select(*keys, F.explode(F.filter("_candidates", lambda p: F.contains("_low", p))).alias("phrase")))
+    candidates = offered.join(anchored, "_anchor").select(*keys, "phrase").distinct()
+    return low.join(candidates, keys).filter(F.contains("_low", F.col("phrase"))).select(*keys, "phrase")

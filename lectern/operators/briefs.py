@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lectern import vocab
 from lectern.functions.text import is_blank, literal_array, present
 from lectern.operators import blocklist
-from lectern.operators.flags import ADVISORY, HARD, flag, union
+from lectern.operators.flags import ADVISORY, HARD, emit, finding, flag, union
 from lectern.operators.graph import duplicates
 from lectern.operators.order import position_key
 
@@ -22,9 +22,10 @@ def bad_opener(briefs: DataFrame) -> DataFrame:
                 F.col("first.lesson_id"), F.col("first.job"))
 
 
-def bad_kind(briefs: DataFrame) -> DataFrame:
-    return flag(briefs.filter(~F.col("declared_kind").isin(vocab.LESSON_KINDS)), "briefs", "bad_kind", HARD,
-                F.col("lesson_id"), F.col("declared_kind"))
+# ---- findings inside one brief ------------------------------------------------------------------
+
+def _kind():
+    return finding(~F.col("declared_kind").isin(vocab.LESSON_KINDS), "bad_kind", HARD, F.col("lesson_id"), F.col("declared_kind"))
 
 
 def _missing(key: str) -> Column:
@@ -35,23 +36,22 @@ def _missing(key: str) -> Column:
     return is_blank(col)
 
 
-def missing_keys(briefs: DataFrame) -> DataFrame:
+def _keys():
     core = [F.when(_missing(k), F.lit(k)) for k in vocab.BRIEF_CORE_KEYS]
     build = [F.when((F.col("kind") == "build") & _missing(k), F.lit(k)) for k in vocab.BRIEF_BUILD_KEYS]
-    found = briefs.withColumn("missing", present(F.array(*core, *build))).filter(F.size("missing") > 0)
-    return flag(found, "briefs", "missing_keys", HARD, F.col("lesson_id"), F.array_join("missing", ","))
+    missing = present(F.array(*core, *build))
+    return finding(F.size(missing) > 0, "missing_keys", HARD, F.col("lesson_id"), F.array_join(missing, ","))
 
 
-def no_objectives(briefs: DataFrame) -> DataFrame:
-    return flag(briefs.filter(F.coalesce(F.size(B + "objectives"), F.lit(0)) <= 0), "briefs", "no_objectives", HARD,
-                F.col("lesson_id"))
+def _objectives():
+    return finding(F.coalesce(F.size(B + "objectives"), F.lit(0)) <= 0, "no_objectives", HARD, F.col("lesson_id"))
 
 
-def bad_job(briefs: DataFrame) -> DataFrame:
+def _job():
     job = F.col(B + "dominant_job")
     severity = F.when(F.coalesce(job.isin(vocab.GUEST_ONLY_JOBS), F.lit(False)), ADVISORY).otherwise(HARD)
     wrong = ~F.coalesce(job.isin(vocab.DOMINANT_JOBS), F.lit(False)) | job.isin(vocab.GUEST_ONLY_JOBS)
-    return flag(briefs.filter(wrong), "briefs", "bad_job", severity, F.col("lesson_id"), job)
+    return finding(wrong, "bad_job", severity, F.col("lesson_id"), job)
 
 
 def gate_text(assessment: Column) -> Column:
@@ -59,47 +59,86 @@ def gate_text(assessment: Column) -> Column:
     return F.when(F.startswith(assessment, F.lit("{")), F.get_json_object(assessment, "$.gate")).otherwise(assessment)
 
 
-def passive_gate(briefs: DataFrame) -> DataFrame:
+def _gate():
     gate = gate_text(F.col(B + "assessment"))
     rule = (F.when(is_blank(gate), "no_gate")
             .when(gate.rlike(vocab.PASSIVE_GATE) & ~gate.rlike(vocab.DOING_GATE), "passive_gate"))
-    found = briefs.withColumn("found", rule).filter("found is not null")
-    return flag(found, "briefs", "gate", HARD, F.col("lesson_id"), F.col("found"))
+    return finding(rule.isNotNull(), "gate", HARD, F.col("lesson_id"), rule)
 
 
-def no_verify(briefs: DataFrame) -> DataFrame:
+def _verify():
     empty = F.coalesce(F.to_json(B + "verify"), F.lit("{}")) == "{}"
-    return flag(briefs.filter((F.col("kind") == "build") & empty), "briefs", "no_verify", ADVISORY, F.col("lesson_id"))
+    return finding((F.col("kind") == "build") & empty, "no_verify", ADVISORY, F.col("lesson_id"))
 
 
-def blocklist_hits(briefs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """A phrase inside any one of five fields."""
-    fields = ["title", "hook", "concept_spec", "artifact_spec", "color"]
-    # The separator cannot occur in a phrase, so no match crosses two fields.
-    text = F.concat_ws("\n", *[F.col(B + f) for f in fields])
-    texts = briefs.select("course_id", "lesson_id", "array_pos", text.alias("text"))
-    return flag(blocklist.hits(texts, ["course_id", "lesson_id", "array_pos"], "text", phrases), "briefs", "blocklist", HARD, F.col("lesson_id"), F.col("phrase"))
+def _difficulty():
+    value = F.col(B + "difficulty").try_cast("bigint")
+    return finding(~value.between(1, 3), "bad_difficulty", ADVISORY, F.col("lesson_id"), value)
+
+
+def _weak_verbs():
+    """A substring test on purpose: `learn` is found in `learner`."""
+    def weak(o):
+        return F.exists(literal_array(vocab.WEAK_VERBS), lambda v: F.contains(F.lower(o["statement"]), v))
+    return present(F.transform(B + "objectives", lambda o, i: finding(weak(o), "weak_verb", ADVISORY, F.col("lesson_id"), i)))
+
+
+def _target(min_words: int = vocab.LESSON_TARGET_MIN):
+    numbers = F.transform(F.regexp_extract_all(B + "est_length", F.lit(r"[\d,]+"), F.lit(0)),
+                          lambda n: F.replace(n, F.lit(","), F.lit("")).try_cast("bigint"))
+    target = F.array_max(present(numbers))
+    return finding((target > 0) & (target < min_words), "short_target", ADVISORY, F.col("lesson_id"), target)
+
+
+def bad_kind(briefs: DataFrame) -> DataFrame:
+    return emit(briefs, "briefs", _kind())
+
+
+def missing_keys(briefs: DataFrame) -> DataFrame:
+    return emit(briefs, "briefs", _keys())
+
+
+def no_objectives(briefs: DataFrame) -> DataFrame:
+    return emit(briefs, "briefs", _objectives())
+
+
+def bad_job(briefs: DataFrame) -> DataFrame:
+    return emit(briefs, "briefs", _job())
+
+
+def passive_gate(briefs: DataFrame) -> DataFrame:
+    return emit(briefs, "briefs", _gate())
+
+
+def no_verify(briefs: DataFrame) -> DataFrame:
+    return emit(briefs, "briefs", _verify())
 
 
 def bad_difficulty(briefs: DataFrame) -> DataFrame:
-    value = F.col(B + "difficulty").try_cast("bigint")
-    return flag(briefs.filter(~value.between(1, 3)), "briefs", "bad_difficulty", ADVISORY, F.col("lesson_id"), value)
+    return emit(briefs, "briefs", _difficulty())
 
 
 def weak_verbs(briefs: DataFrame) -> DataFrame:
-    """A substring test on purpose: `learn` is found in `learner`."""
-    said = briefs.select("course_id", "lesson_id", F.posexplode(B + "objectives").alias("pos", "o"))
-    low = F.lower("o.statement")
-    weak = F.exists(literal_array(vocab.WEAK_VERBS), lambda v: F.contains(low, v))
-    return flag(said.filter(weak), "briefs", "weak_verb", ADVISORY, F.col("lesson_id"), F.col("pos"))
+    return emit(briefs, "briefs", lists=(_weak_verbs(),))
 
 
 def short_target(briefs: DataFrame, min_words: int = vocab.LESSON_TARGET_MIN) -> DataFrame:
-    numbers = F.transform(F.regexp_extract_all(B + "est_length", F.lit(r"[\d,]+"), F.lit(0)),
-                          lambda n: F.replace(n, F.lit(","), F.lit("")).try_cast("bigint"))
-    aimed = briefs.withColumn("target", F.array_max(present(numbers)))
-    return flag(aimed.filter((F.col("target") > 0) & (F.col("target") < min_words)), "briefs", "short_target",
-                ADVISORY, F.col("lesson_id"), F.col("target"))
+    return emit(briefs, "briefs", _target(min_words))
+
+
+def all_findings(briefs: DataFrame) -> DataFrame:
+    """Every rule that one brief answers alone, in one pass."""
+    return emit(briefs, "briefs", _kind(), _keys(), _objectives(), _job(), _gate(), _verify(), _difficulty(), _target(),
+                lists=(_weak_verbs(),))
+
+
+def blocklist_hits(briefs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """A phrase inside any one of five fields."""
+    fields = ["title", "hook", "concept_spec", "artifact_spec", "color"]
+    # The separator cannot occur in a phrase, so no match crosses two fields.
+    text = F.concat_ws("\n", *[F.col(B + f) for f in fields])
+    texts = briefs.select("course_id", "lesson_id", "array_pos", text.alias("text"))
+    return flag(blocklist.hits(texts, ["course_id", "lesson_id", "array_pos"], "text", phrases), "briefs", "blocklist", HARD, F.col("lesson_id"), F.col("phrase"))
 
 
 def smoke_eligibility(briefs: DataFrame, allowlist=tuple(vocab.SMOKE_ALLOWLIST)) -> DataFrame:
@@ -112,7 +151,5 @@ def smoke_eligibility(briefs: DataFrame, allowlist=tuple(vocab.SMOKE_ALLOWLIST))
 
 
 def brief_flags(t, phrases: DataFrame) -> DataFrame:
-    b = t["briefs"]
-    return union(duplicate_lessons(t["lessons"]), bad_opener(b), bad_kind(b), missing_keys(b), no_objectives(b),
-                 bad_job(b), passive_gate(b), no_verify(b), blocklist_hits(b, phrases), bad_difficulty(b),
-                 weak_verbs(b), short_target(b))
+    return union(duplicate_lessons(t["lessons"]), bad_opener(t["briefs"]), all_findings(t["briefs"]),
+                 blocklist_hits(t["briefs"], phrases))

@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern import vocab
 from lectern.functions.text import KEBAB, is_blank, is_json, present, strip
-from lectern.operators.flags import ADVISORY, HARD, flag, union
+from lectern.operators.flags import ADVISORY, HARD, emit, finding, flag, union
 
 FILES = ["starter", "solution", "tests"]
 
@@ -12,30 +12,36 @@ def _where():
     return F.concat_ws("/", "lesson_id", F.coalesce(F.nullif(F.trim("challenge_id"), F.lit("")), F.col("pos").cast("string")))
 
 
-def bad_challenge(challenges: DataFrame) -> DataFrame:
-    cid = F.trim(F.coalesce("challenge_id", F.lit("")))
-    named = challenges.withColumn("_id", cid)
-    twice = (named.filter("_id <> ''").groupBy("course_id", "lesson_id", "_id").agg(F.count("*").alias("n"))
-             .filter("n > 1").filter(F.col("_id").rlike(KEBAB)))
-    build = F.coalesce("buildType", F.lit("standard"))
-    return union(
-        flag(named.filter("_id = ''"), "briefs", "challenge_without_id", HARD, _where()),
-        flag(named.filter((F.col("_id") != "") & ~F.col("_id").rlike(KEBAB)), "briefs", "bad_challenge_id", HARD, _where()),
-        flag(twice, "briefs", "duplicate_challenge", HARD, F.concat_ws("/", "lesson_id", "_id")),
-        flag(challenges.filter(~F.coalesce(F.col("language").isin(vocab.CHALLENGE_LANGS), F.lit(False))), "briefs",
-             "bad_language", HARD, _where(), F.col("language")),
-        flag(challenges.filter(~build.isin(vocab.BUILD_TYPES)), "briefs", "bad_build_type", HARD, _where(), build))
+def _identity():
+    cid, build, lang = F.trim(F.coalesce("challenge_id", F.lit(""))), F.coalesce("buildType", F.lit("standard")), F.col("language")
+    return [
+        finding(cid == "", "challenge_without_id", HARD, _where()),
+        finding((cid != "") & ~cid.rlike(KEBAB), "bad_challenge_id", HARD, _where()),
+        finding(~F.coalesce(lang.isin(vocab.CHALLENGE_LANGS), F.lit(False)), "bad_language", HARD, _where(), lang),
+        finding(~build.isin(vocab.BUILD_TYPES), "bad_build_type", HARD, _where(), build)]
 
 
-def incomplete_challenge(challenges: DataFrame) -> DataFrame:
+def _gaps():
     not_rust = (F.col("buildType") == "buildable") & ~F.col("language").eqNullSafe("rust")
-    absent = challenges.withColumn("file", F.explode(present(F.array(*[
-        F.when(is_blank(F.col(f)), F.lit(f)) for f in FILES]))))
     no_criteria = F.coalesce(F.size("acceptance_criteria"), F.lit(0)) <= 0
-    return union(
-        flag(challenges.filter(not_rust), "briefs", "buildable_not_rust", ADVISORY, _where(), F.col("language")),
-        flag(absent, "briefs", "missing_reference", HARD, _where(), F.col("file")),
-        flag(challenges.filter(no_criteria), "briefs", "no_acceptance_criteria", ADVISORY, _where()))
+    return [finding(not_rust, "buildable_not_rust", ADVISORY, _where(), F.col("language")),
+            *[finding(is_blank(F.col(f)), "missing_reference", HARD, _where(), f) for f in FILES],
+            finding(no_criteria, "no_acceptance_criteria", ADVISORY, _where())]
+
+
+def duplicate_challenges(challenges: DataFrame) -> DataFrame:
+    named = challenges.select("course_id", "lesson_id", F.trim(F.coalesce("challenge_id", F.lit(""))).alias("_id"))
+    twice = (named.filter((F.col("_id") != "") & F.col("_id").rlike(KEBAB)).groupBy("course_id", "lesson_id", "_id")
+             .agg(F.count("*").alias("n")).filter("n > 1"))
+    return flag(twice, "briefs", "duplicate_challenge", HARD, F.concat_ws("/", "lesson_id", "_id"))
+
+
+def bad_challenge(challenges: DataFrame) -> DataFrame:
+    return union(emit(challenges, "briefs", *_identity()), duplicate_challenges(challenges))
+
+
+def incomplete_challenge(challenges: DataFrame) -> DataFrame:
+    return emit(challenges, "briefs", *_gaps())
 
 
 def _references(challenges: DataFrame) -> DataFrame:
@@ -140,4 +146,4 @@ def contract_verdict(case_results: DataFrame) -> DataFrame:
 
 
 def challenge_flags(t) -> DataFrame:
-    return union(bad_challenge(t["challenges"]), incomplete_challenge(t["challenges"]))
+    return union(emit(t["challenges"], "briefs", *_identity(), *_gaps()), duplicate_challenges(t["challenges"]))

@@ -135,17 +135,20 @@ def routing_budget(courses: DataFrame, max_guests: int = 2) -> DataFrame:
     return flag(broken, "routing", "routing_budget", ADVISORY, F.col("course_id"), F.col("rule"))
 
 
-def course_flags(t) -> dict[str, DataFrame]:
+def ladder_flags(t) -> DataFrame:
     m = t["modules"]
-    return {
-        "ladder": union(no_rung(m), ladder_backward(m), band_dip(m),
-                        unscheduled(t["lessons"], t["weeks"], t["schedule"])),
-        "capstone": capstone_untaught(t["courses"], t["capstone_skills"], t["teaches"]),
-        "outcomes": union(unproven_outcomes(t["outcomes"], t["proofs"]), unknown_proofs(t["outcomes"], t["proofs"]),
-                          bad_traces(m, t["outcomes"])),
-        "research": union(no_research(t["lessons"]), off_list_claims(t["claims"])),
-        "artifacts": union(duplicate_artifacts(t["artifacts"]), unknown_consumes(t["artifacts"]),
-                           backward_consumes(t["artifacts"]), unconsumed(t["artifacts"])),
-        "length": length_mismatch(t["courses"]),
-        "routing": routing_budget(t["courses"]),
-    }
+    return union(no_rung(m), ladder_backward(m), band_dip(m), unscheduled(t["lessons"], t["weeks"], t["schedule"]))
+
+
+def outcome_flags(t) -> DataFrame:
+    return union(unproven_outcomes(t["outcomes"], t["proofs"]), unknown_proofs(t["outcomes"], t["proofs"]),
+                 bad_traces(t["modules"], t["outcomes"]))
+
+
+def research_flags(t) -> DataFrame:
+    return union(no_research(t["lessons"]), off_list_claims(t["claims"]))
+
+
+def artifact_flags(t) -> DataFrame:
+    a = t["artifacts"]
+    return union(duplicate_artifacts(a), unknown_consumes(a), backward_consumes(a), unconsumed(a))

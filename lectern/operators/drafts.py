@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 from lectern import vocab
 from lectern.functions import dashes, fences as fn
 from lectern.functions.text import ANY_SPACE, SPACE, is_blank, present, strip, total, word_count
-from lectern.operators.flags import ADVISORY, HARD, flag, union
+from lectern.operators.flags import ADVISORY, HARD, emit, finding, flag
 
 KEY = ["course_id", "stem"]
 
@@ -65,73 +65,136 @@ def parse_visuals(drafts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return visuals, defects
 
 
-def draft_metrics(drafts: DataFrame) -> DataFrame:
-    """Words, longest prose wall and its last line, words before the first code / any fence, visuals."""
-    cut = drafts.select(*KEY, "md", fn.segments(F.col("md")).alias("segs"),
-                        fn.fence_labels(fn.fences(F.col("md"))).alias("labels"))
+def _measured(drafts: DataFrame) -> DataFrame:
+    """Every draft with its cuts and its numbers: the one reading all rules share."""
+    cut = _with_visuals(drafts).select(
+        *KEY, "md", "_specs", fn.segments(F.col("md")).alias("segs"), fn.fence_labels(fn.fences(F.col("md"))).alias("labels"))
     counted = cut.select(
-        *KEY, "md", "labels",
+        "*", _valid_specs().alias("_valid"),
         F.transform("segs", lambda s, i: F.when(i % 2 == 0, word_count(s)).otherwise(0).cast("bigint")).alias("run"),
-        F.transform("segs", lambda s: fn.line_count(s).cast("bigint")).alias("feeds"))
-    code_openers = present(F.transform("labels", lambda x, i: F.when((i % 2 == 0) & (x != "visual"), i)))
-    wall = F.array_max("run")
-    wall_at = F.array_position("run", wall).cast("int")
-    n_segs = F.size("run")
-    upto_wall = total(F.slice("feeds", 1, wall_at))
-    specs = F.transform(fn.blocks(F.col("md"), fn.VISUAL_BLOCK),
-                        lambda b: fn.visual_fields(b["body"], vocab.VISUAL_FIELDS))
-    measured = counted.select(
-        *KEY, total(F.col("run")).alias("prose_words"), wall.alias("longest_wall"),
-        F.when(wall == 0, F.lit(0).cast("bigint")).when(wall_at == n_segs, upto_wall + 1)
+        F.transform("segs", lambda s: fn.line_count(s).cast("bigint")).alias("feeds"),
+        present(F.transform("labels", lambda x, i: F.when((i % 2 == 0) & (x != "visual"), i))).alias("code_openers"))
+    walled = counted.select("*", F.array_max("run").alias("longest_wall"),
+                            F.array_position("run", F.array_max("run")).cast("int").alias("wall_at"))
+    upto_wall = total(F.slice("feeds", 1, F.col("wall_at")))
+    return walled.select(
+        "*", total(F.col("run")).alias("prose_words"),
+        F.when(F.col("longest_wall") == 0, F.lit(0).cast("bigint")).when(F.col("wall_at") == F.size("run"), upto_wall + 1)
         .otherwise(upto_wall).alias("wall_end_line"),
-        F.when(F.size(code_openers) > 0, total(F.slice("run", 1, F.get(code_openers, F.lit(0)) + 1)))
-        .alias("first_code_words"),
+        F.when(F.size("code_openers") > 0, total(F.slice("run", 1, F.get("code_openers", F.lit(0)) + 1))).alias("first_code_words"),
         F.when(F.size("labels") > 0, F.get("run", F.lit(0))).alias("first_fence_words"),
-        specs.alias("specs"))
-    valid = F.filter("specs", _is_valid)
-    return measured.select(
-        *KEY, "prose_words", "longest_wall", "wall_end_line", "first_code_words", "first_fence_words",
-        F.size("specs").cast("bigint").alias("visual_blocks"), F.size(valid).cast("bigint").alias("visual_valid"),
-        F.array_sort(F.array_distinct(F.transform(valid, lambda v: v["type"]))).alias("visual_types"))
+        F.size("_specs").cast("bigint").alias("visual_blocks"), F.size("_valid").cast("bigint").alias("visual_valid"),
+        F.array_sort(F.array_distinct(F.transform("_valid", lambda v: v["type"]))).alias("visual_types"))
 
 
-def no_title(drafts: DataFrame) -> DataFrame:
+METRICS = ["prose_words", "longest_wall", "wall_end_line", "first_code_words", "first_fence_words", "visual_blocks",
+           "visual_valid", "visual_types"]
+
+
+def draft_metrics(drafts: DataFrame) -> DataFrame:
+    """Words, longest prose wall and its last line, words before the first code / any fence, visuals."""
+    return _measured(drafts).select(*KEY, *METRICS)
+
+
+def all_findings(drafts: DataFrame) -> DataFrame:
+    """All rules that need the draft alone, in one pass over the text and without a shuffle."""
+    read = _measured(drafts).withColumns({
+        "dashes": dashes.count_in(F.col("segs"), F.col("labels")), "sentences": _sentence_counts(F.col("segs")),
+        "tool": _unset_tool(F.col("segs"), F.col("labels"), vocab.TOOL_INSTALLERS)})
+    return emit(read, "drafts", _title_finding(), _floor_finding(), _one_type_finding(), _wall_finding(), _tool_finding(),
+                _dash_finding(), _depth_finding(), _rhythm_finding(), lists=(_defect_findings(), _alt_findings()))
+
+
+# ---- rules: each finding is a column, so that all of them can share one reading of the text ---------
+
+def _title_finding():
     opens_on_title = F.col("md").rlike(rf"\A(?:[{ANY_SPACE}]*\n)?# ")
-    return flag(drafts.filter(~opens_on_title), "drafts", "no_title", HARD, F.col("stem"))
+    return finding(~opens_on_title, "no_title", HARD, F.col("stem"))
 
 
-def visual_floor(metrics: DataFrame) -> DataFrame:
+def _floor_finding():
     floor = F.greatest(F.lit(vocab.VISUAL_MIN), F.ceil(F.col("prose_words") / vocab.VISUAL_WORDS_PER))
-    return flag(metrics.filter(F.col("visual_valid") < floor), "drafts", "visual_floor", HARD, F.col("stem"),
-                F.concat_ws("/", F.col("visual_valid"), floor.cast("bigint")))
+    return finding(F.col("visual_valid") < floor, "visual_floor", HARD, F.col("stem"),
+                   F.concat_ws("/", F.col("visual_valid"), floor.cast("bigint")))
 
 
-def visual_defects(defects: DataFrame) -> DataFrame:
-    return flag(defects, "drafts", "visual_defect", HARD, F.col("stem"), F.concat_ws(":", "n", "defect"))
+def _defect_findings():
+    defect = lambda b: F.when(b["close"] == "", "unclosed").when(b["close"] != "```", "glued")
+    return present(F.transform("_specs", lambda b, i: finding(
+        defect(b).isNotNull(), "visual_defect", HARD, F.col("stem"), F.concat_ws(":", i + 1, defect(b)))))
 
 
-def visual_quality(drafts: DataFrame) -> DataFrame:
-    """One type for all visuals, weak alt text, brackets in alt text."""
-    per_draft = _with_visuals(drafts).select(
-        *KEY, F.filter(F.transform("_specs", lambda b: b["spec"]), _is_valid).alias("valid"))
-    kinds = F.array_distinct(F.transform("valid", lambda v: v["type"]))
-    same = per_draft.filter((F.size("valid") >= 2) & (F.size(kinds) < 2))
-    alts = (per_draft.select(*KEY, F.posexplode("valid").alias("n", "v"))
-            .select(*KEY, (F.col("n") + 1).alias("n"), F.col("v.alt").alias("alt"), F.col("v.title").alias("title")))
-    size, low = word_count(F.col("alt")), F.lower("alt")
-    weak = (size < 8) | (size > 30) | (low == F.lower("title"))
+def _valid_specs():
+    return F.filter(F.transform("_specs", lambda b: b["spec"]), _is_valid)
+
+
+def _one_type_finding():
+    kinds = F.array_distinct(F.transform("_valid", lambda v: v["type"]))
+    return finding((F.size("_valid") >= 2) & (F.size(kinds) < 2), "one_visual_type", ADVISORY, F.col("stem"), F.get(kinds, F.lit(0)))
+
+
+def _weak_alt(v):
+    size, low = word_count(v["alt"]), F.lower(v["alt"])
+    weak = (size < 8) | (size > 30) | (low == F.lower(v["title"]))
     for prefix in vocab.WEAK_ALT_PREFIXES:
         weak = weak | F.startswith(low, F.lit(prefix))
-    return union(
-        flag(same, "drafts", "one_visual_type", ADVISORY, F.col("stem"), F.get(kinds, F.lit(0))),
-        flag(alts.filter(weak), "drafts", "weak_alt", ADVISORY, F.col("stem"), F.col("n")),
-        flag(alts.filter(F.col("alt").rlike(r"[\[\]]")), "drafts", "bracket_in_alt", HARD, F.col("stem"), F.col("n")))
+    return weak
 
 
-def prose_wall(metrics: DataFrame) -> DataFrame:
+def _alt_findings():
+    weak = F.transform("_valid", lambda v, i: finding(_weak_alt(v), "weak_alt", ADVISORY, F.col("stem"), i + 1))
+    bracket = F.transform("_valid", lambda v, i: finding(
+        v["alt"].rlike(r"[\[\]]"), "bracket_in_alt", HARD, F.col("stem"), i + 1))
+    return present(F.concat(weak, bracket))
+
+
+def _wall_finding():
     severity = F.when(F.col("longest_wall") > vocab.WALL_HARD, HARD).otherwise(ADVISORY)
-    return flag(metrics.filter(F.col("longest_wall") > vocab.WALL_ADVISORY), "drafts", "prose_wall", severity,
-                F.col("stem"), F.concat_ws("@", "longest_wall", "wall_end_line"))
+    return finding(F.col("longest_wall") > vocab.WALL_ADVISORY, "prose_wall", severity, F.col("stem"),
+                   F.concat_ws("@", "longest_wall", "wall_end_line"))
+
+
+def _dash_finding():
+    severity = F.when(F.col("dashes") > 2, HARD).otherwise(ADVISORY)
+    return finding(F.col("dashes") >= 1, "dash_policy", severity, F.col("stem"), F.col("dashes"))
+
+
+def _depth_finding():
+    outside = (F.col("prose_words") < vocab.DEPTH_MIN) | (F.col("prose_words") > vocab.DEPTH_MAX)
+    return finding(outside, "depth_band", ADVISORY, F.col("stem"), F.col("prose_words"))
+
+
+def _tool_finding():
+    return finding(F.col("tool").isNotNull(), "tool_without_install", ADVISORY, F.col("stem"), F.col("tool"))
+
+
+def _rhythm_finding():
+    developed = F.exists("sentences", lambda n: n >= 4)
+    thin = total(F.col("sentences")) < 1.8 * F.size("sentences")
+    rule = F.when(~developed, "no_developed_paragraph").when(thin, "staccato")
+    return finding((F.size("sentences") > 0) & rule.isNotNull(), "paragraph_rhythm", ADVISORY, F.col("stem"), rule)
+
+
+def no_title(drafts: DataFrame) -> DataFrame:
+    return emit(drafts, "drafts", _title_finding())
+
+
+def visual_floor(metrics: DataFrame) -> DataFrame:
+    return emit(metrics, "drafts", _floor_finding())
+
+
+def visual_defects(drafts: DataFrame) -> DataFrame:
+    return emit(_with_visuals(drafts), "drafts", lists=(_defect_findings(),))
+
+
+def visual_quality(drafts: DataFrame) -> DataFrame:
+    """One type for all visuals, weak alt text, brackets in alt text."""
+    read = _with_visuals(drafts).withColumn("_valid", _valid_specs())
+    return emit(read, "drafts", _one_type_finding(), lists=(_alt_findings(),))
+
+
+def prose_wall(metrics: DataFrame) -> DataFrame:
+    return emit(metrics, "drafts", _wall_finding())
 
 
 def late_first_do(metrics: DataFrame, stems: DataFrame) -> DataFrame:
@@ -148,51 +211,47 @@ def late_first_do(metrics: DataFrame, stems: DataFrame) -> DataFrame:
                 F.coalesce(F.col("first").cast("string"), F.lit("none")))
 
 
-def tool_without_install(drafts: DataFrame, tools=None) -> DataFrame:
+def _unset_tool(segs, labels, tools):
     """First tool, in list order, started in a shell fence while its installer is nowhere in the draft."""
-    segs, labels = fn.segments(F.col("md")), fn.fence_labels(fn.fences(F.col("md")))
-    seen = drafts.select(*KEY, F.lower("md").alias("low"),
-                         F.lower(fn.fenced(segs, labels, vocab.SHELL_LABELS)).alias("shell"))
-    hits = [F.when(F.col("shell").rlike(
-                rf"(?m)^[ \t]*(?:[$#][ \t]*)?(?:[A-Z_]+=\S+[ \t]+)*\Q{tool}\E\b")
-                & ~F.contains("low", F.lit(installer)), F.lit(tool))
-            for tool, installer in (tools or vocab.TOOL_INSTALLERS)]
-    first = seen.select(*KEY, F.coalesce(*hits).alias("tool")).filter("tool is not null")
-    return flag(first, "drafts", "tool_without_install", ADVISORY, F.col("stem"), F.col("tool"))
+    low, shell = F.lower("md"), F.lower(fn.fenced(segs, labels, vocab.SHELL_LABELS))
+    return F.coalesce(*[F.when(shell.rlike(rf"(?m)^[ \t]*(?:[$#][ \t]*)?(?:[A-Z_]+=\S+[ \t]+)*\Q{tool}\E\b")
+                               & ~F.contains(low, F.lit(installer)), F.lit(tool)) for tool, installer in tools])
+
+
+def tool_without_install(drafts: DataFrame, tools=None) -> DataFrame:
+    read = drafts.select(*KEY, "md", fn.segments(F.col("md")).alias("segs"), fn.fence_labels(fn.fences(F.col("md"))).alias("labels"))
+    tool = _unset_tool(F.col("segs"), F.col("labels"), tools or vocab.TOOL_INSTALLERS)
+    return emit(read.withColumn("tool", tool), "drafts", _tool_finding())
 
 
 def dash_policy(counts: DataFrame) -> DataFrame:
-    return flag(counts.filter("dashes >= 1"), "drafts", "dash_policy",
-                F.when(F.col("dashes") > 2, HARD).otherwise(ADVISORY), F.col("stem"), F.col("dashes"))
+    return emit(counts, "drafts", _dash_finding())
 
 
 def depth_band(metrics: DataFrame) -> DataFrame:
-    outside = metrics.filter((F.col("prose_words") < vocab.DEPTH_MIN) | (F.col("prose_words") > vocab.DEPTH_MAX))
-    return flag(outside, "drafts", "depth_band", ADVISORY, F.col("stem"), F.col("prose_words"))
+    return emit(metrics, "drafts", _depth_finding())
 
 
-def paragraphs(drafts: DataFrame) -> DataFrame:
-    """Sentence counts of the paragraphs of more than ten words: paras(…, sentences array<bigint>).
+def _sentence_counts(segs):
+    """Sentences of each paragraph of more than ten words.
 
     Heading, list, quote, table and digit lines vanish without ending the paragraph around them.
     """
-    text = fn.prose(fn.segments(F.col("md")))
-    kept = F.regexp_replace(text, rf"(?dm)^[{SPACE}]*[#\-|>*1-9][^\n]*(?:\n|\z)", "")
+    kept = F.regexp_replace(fn.prose(segs), rf"(?dm)^[{SPACE}]*[#\-|>*1-9][^\n]*(?:\n|\z)", "")
     paras = F.split(F.regexp_replace(kept, rf"(?dm)^[{SPACE}]+$", ""), r"\n\n+", -1)
     flat = F.transform(paras, lambda p: strip(F.regexp_replace(p, rf"[{SPACE}]*\n[{SPACE}]*", " ")))
     long_ones = F.filter(flat, lambda p: word_count(p) > 10)
-    counts = F.transform(long_ones, lambda p: F.size(
+    return F.transform(long_ones, lambda p: F.size(
         F.filter(F.split(p, rf"[.?][{ANY_SPACE}]", -1), lambda s: ~is_blank(s))).cast("bigint"))
-    return drafts.select(*KEY, counts.alias("sentences"))
+
+
+def paragraphs(drafts: DataFrame) -> DataFrame:
+    """paras(course_id, stem, sentences array<bigint>)"""
+    return drafts.select(*KEY, _sentence_counts(fn.segments(F.col("md"))).alias("sentences"))
 
 
 def paragraph_rhythm(drafts: DataFrame) -> DataFrame:
-    paras = paragraphs(drafts).filter(F.size("sentences") > 0)
-    developed = F.exists("sentences", lambda n: n >= 4)
-    thin = total(F.col("sentences")) < 1.8 * F.size("sentences")
-    rule = F.when(~developed, "no_developed_paragraph").when(thin, "staccato")
-    found = paras.withColumn("found", rule).filter("found is not null")
-    return flag(found, "drafts", "paragraph_rhythm", ADVISORY, F.col("stem"), F.col("found"))
+    return emit(paragraphs(drafts), "drafts", _rhythm_finding())
 
 
 def metrics_table(metrics: DataFrame) -> DataFrame:

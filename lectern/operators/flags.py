@@ -22,5 +22,23 @@ def flag(df: DataFrame, check: str, rule: str, severity, subject, detail="") ->
     )
 
 
+def finding(condition: Column, rule: str, severity, subject, detail="") -> Column:
+    """One finding inside a row: a struct where the condition holds, else null."""
+    return F.when(condition, F.struct(
+        F.lit(rule).alias("rule"), _text(severity).alias("severity"),
+        F.coalesce(_text(subject), F.lit("")).alias("subject"), F.coalesce(_text(detail), F.lit("")).alias("detail")))
+
+
+def emit(df: DataFrame, check: str, *findings: Column, lists: tuple[Column, ...] = ()) -> DataFrame:
+    """Flags of all findings of a row in one pass over df; `lists` are arrays of findings."""
+    one_each = F.array_compact(F.array(*findings)) if findings else None
+    parts = ([one_each] if findings else []) + [F.coalesce(x, F.array().cast(FINDINGS)) for x in lists]
+    found = df.select(F.col("course_id").cast("string").alias("course_id"), F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("f"))
+    return found.select("course_id", F.lit(check).alias("check_name"), "f.rule", "f.severity", "f.subject", "f.detail")
+
+
+FINDINGS = "array<struct<rule:string,severity:string,subject:string,detail:string>>"
+
+
 def union(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -43,49 +43,48 @@ def _known_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .join(known.withColumnRenamed("node", "dst"), ["course_id", "dst"], "left_semi"))
 
 
-def _peel(edges: DataFrame) -> DataFrame:
-    """Edges whose source still has an incoming edge."""
-    fed = edges.select("course_id", F.col("dst").alias("src")).distinct()
-    return edges.join(fed, ["course_id", "src"], "left_semi")
+def _peel_rounds(nodes: DataFrame, edges: DataFrame) -> list[DataFrame]:
+    """Edges alive before each round of peeling, all courses together, until a round removes none.
 
-
-def cycle_leftovers(nodes: DataFrame, edges: DataFrame, steps: int = 4) -> DataFrame:
-    """Nodes that repeated removal of unfed nodes never reaches: cycles and what lies downstream.
-
-    All courses are peeled together. Only edges are kept, since a leftover node is one with a
-    surviving incoming edge; `steps` peels share one checkpoint and one count.
+    An edge survives a round while its source still has an incoming edge. Every round is checkpointed to
+    the shared folder, so a round costs one semi-join and a lost executor does not replay the earlier ones.
+    The number of rounds is the longest path of any course, not the size of the catalog.
     """
-    live = cut_lineage(_known_edges(nodes, edges))
-    left = live.count()
+    rounds = [cut_lineage(_known_edges(nodes, edges))]
+    left = rounds[0].count()
     while left:
-        live = cut_lineage(reduce(lambda e, _: _peel(e), range(steps), live))
-        now = live.count()
+        live = rounds[-1]
+        fed = live.select("course_id", F.col("dst").alias("src")).distinct()
+        rounds.append(cut_lineage(live.join(fed, ["course_id", "src"], "left_semi")))
+        now = rounds[-1].count()
         if now == left:
             break
         left = now
+    return rounds
+
+
+def _targets(live: DataFrame) -> DataFrame:
     return live.select("course_id", F.col("dst").alias("node")).distinct()
 
 
+def cycle_leftovers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes that repeated removal of unfed nodes never reaches: cycles and what lies downstream."""
+    return _targets(_peel_rounds(nodes, edges)[-1])
+
+
 def cycle_flags(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return flag(cycle_leftovers(nodes, edges), "dag", "cycle", HARD, F.col("node"))
 
 
 def topo_depth(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """depth = length of the longest path into a node; cycles and what follows them are left out."""
-    live = cut_lineage(_known_edges(nodes, edges))
-    waiting = cut_lineage(nodes.select("course_id", "node").distinct())
-    done, depth, left = [], 0, waiting.count()
-    while left:
-        fed = live.select("course_id", F.col("dst").alias("node")).distinct()
-        done.append(waiting.join(fed, ["course_id", "node"], "left_anti").withColumn("depth", F.lit(depth)))
-        waiting = cut_lineage(waiting.join(fed, ["course_id", "node"], "left_semi"))
-        now = waiting.count()
-        if now == left:
-            break
-        live = cut_lineage(_peel(live))
-        left, depth = now, depth + 1
-    empty = waiting.limit(0).withColumn("depth", F.lit(0))
-    return reduce(DataFrame.unionByName, done, empty).withColumn("depth", F.col("depth").cast("bigint"))
+    """depth = length of the longest path into a node; cycles and what follows them are left out.
+
+    A node is fed in as many rounds as its longest incoming path has edges.
+    """
+    rounds = _peel_rounds(nodes, edges)
+    fed = reduce(DataFrame.unionByName, [_targets(r) for r in rounds]).groupBy("course_id", "node").agg(F.count("*").alias("depth"))
+    return (nodes.select("course_id", "node").distinct().join(_targets(rounds[-1]), ["course_id", "node"], "left_anti")
+            .join(fed, ["course_id", "node"], "left").withColumn("depth", F.coalesce("depth", F.lit(0).cast("bigint"))))
 
 
 def unknown_module_deps(module_deps: DataFrame, modules: DataFrame) -> DataFrame:

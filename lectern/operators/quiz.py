@@ -6,8 +6,8 @@ and what leaves the row is one slot or one gap, summed per course before any shu
 """
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.functions.text import is_blank
-from lectern.operators.flags import ADVISORY, HARD, flag, union
+from lectern.functions.text import is_blank, present
+from lectern.operators.flags import ADVISORY, HARD, emit, finding, flag, union
 
 MIN_QUESTIONS = 6
 
@@ -30,47 +30,78 @@ def _where() -> Column:
     return F.concat_ws("#", "lesson_id", "block", "q_pos")
 
 
-def bad_questions(questions: DataFrame) -> DataFrame:
-    trimmed = questions.withColumn("_id", F.trim(F.coalesce("q_id", F.lit(""))))
-    twice = (trimmed.filter("_id <> ''").groupBy("course_id", "lesson_id", "block", "_id")
-             .agg(F.count("*").alias("n")).filter("n > 1"))
-    return union(
-        flag(trimmed.filter("_id = ''"), "briefs", "question_without_id", HARD, _where()),
-        flag(twice, "briefs", "duplicate_question", HARD, F.concat_ws("#", "lesson_id", "block"), F.col("_id")),
-        flag(questions.filter(is_blank(F.col("prompt"))), "briefs", "no_prompt", HARD, _where()))
+def _id(c) -> Column:
+    return F.trim(F.coalesce(c, F.lit("")))
 
 
-def few_options(questions: DataFrame) -> DataFrame:
+def _no_id():
+    return finding(_id(F.col("q_id")) == "", "question_without_id", HARD, _where())
+
+
+def _no_prompt():
+    return finding(is_blank(F.col("prompt")), "no_prompt", HARD, _where())
+
+
+def _few_options():
     n = F.size("options")
-    return flag(questions.filter(n < 3), "briefs", "few_options", F.when(n < 2, HARD).otherwise(ADVISORY),
-                _where(), n)
+    return finding(n < 3, "few_options", F.when(n < 2, HARD).otherwise(ADVISORY), _where(), n)
 
 
-def bad_option_ids(questions: DataFrame) -> DataFrame:
-    ids = F.transform("options", lambda o: F.trim(F.coalesce(o["id"], F.lit(""))))
-    return union(
-        flag(questions.filter(F.exists(ids, lambda i: i == "")), "briefs", "option_without_id", HARD, _where()),
-        flag(questions.filter(F.size(F.array_distinct(ids)) < F.size(ids)), "briefs", "duplicate_option", HARD,
-             _where()))
+def _option_ids():
+    ids = F.transform("options", lambda o: _id(o["id"]))
+    return (finding(F.exists(ids, lambda i: i == ""), "option_without_id", HARD, _where()),
+            finding(F.size(F.array_distinct(ids)) < F.size(ids), "duplicate_option", HARD, _where()))
 
 
 def _correct(options) -> Column:
     return F.filter(options, lambda o: F.coalesce(o["correct"], F.lit(False)))
 
 
-def bad_correctness(questions: DataFrame) -> DataFrame:
+def _correctness():
     n = F.size(_correct("options"))
-    wrong = F.when(F.col("multi"), n < 1).otherwise(n != 1)
-    return flag(questions.filter(wrong), "briefs", "bad_correctness", HARD, _where(), n)
+    return finding(F.when(F.col("multi"), n < 1).otherwise(n != 1), "bad_correctness", HARD, _where(), n)
 
 
-def missing_feedback(questions: DataFrame) -> DataFrame:
+def _no_feedback():
     """Only options explicitly marked wrong need feedback."""
-    silent = F.filter("options", lambda o: (o["correct"] == F.lit(False)) & is_blank(o["feedback"]))
-    per_option = questions.select("course_id", "lesson_id", "block", "q_pos", F.explode(silent).alias("o"))
-    return union(
-        flag(per_option, "briefs", "no_feedback", ADVISORY, _where(), F.col("o.id")),
-        flag(questions.filter(is_blank(F.col("explanation"))), "briefs", "no_explanation", ADVISORY, _where()))
+    return present(F.transform("options", lambda o: finding(
+        (o["correct"] == F.lit(False)) & is_blank(o["feedback"]), "no_feedback", ADVISORY, _where(), o["id"])))
+
+
+def _no_explanation():
+    return finding(is_blank(F.col("explanation")), "no_explanation", ADVISORY, _where())
+
+
+def duplicate_questions(questions: DataFrame) -> DataFrame:
+    twice = (questions.select("course_id", "lesson_id", "block", _id(F.col("q_id")).alias("_id")).filter("_id <> ''")
+             .groupBy("course_id", "lesson_id", "block", "_id").agg(F.count("*").alias("n")).filter("n > 1"))
+    return flag(twice, "briefs", "duplicate_question", HARD, F.concat_ws("#", "lesson_id", "block"), F.col("_id"))
+
+
+def bad_questions(questions: DataFrame) -> DataFrame:
+    return union(emit(questions, "briefs", _no_id(), _no_prompt()), duplicate_questions(questions))
+
+
+def few_options(questions: DataFrame) -> DataFrame:
+    return emit(questions, "briefs", _few_options())
+
+
+def bad_option_ids(questions: DataFrame) -> DataFrame:
+    return emit(questions, "briefs", *_option_ids())
+
+
+def bad_correctness(questions: DataFrame) -> DataFrame:
+    return emit(questions, "briefs", _correctness())
+
+
+def missing_feedback(questions: DataFrame) -> DataFrame:
+    return emit(questions, "briefs", _no_explanation(), lists=(_no_feedback(),))
+
+
+def all_findings(questions: DataFrame) -> DataFrame:
+    """Every rule that one question answers alone, in one pass."""
+    return emit(questions, "briefs", _no_id(), _no_prompt(), _few_options(), *_option_ids(), _correctness(), _no_explanation(),
+                lists=(_no_feedback(),))
 
 
 # ---- analytics --------------------------------------------------------------------------------
@@ -180,5 +211,5 @@ def merge_quiz(current: DataFrame, edited: DataFrame) -> tuple[DataFrame, DataFr
 
 def quiz_flags(t) -> DataFrame:
     q = t["questions"]
-    return union(not_a_list(t["lessons"]), empty_quiz(t["quiz_blocks"]), bad_questions(q), few_options(q),
-                 bad_option_ids(q), bad_correctness(q), missing_feedback(q), slot_skew(q), longest_tell(q))
+    return union(not_a_list(t["lessons"]), empty_quiz(t["quiz_blocks"]), all_findings(q), duplicate_questions(q),
+                 slot_skew(q), longest_tell(q))

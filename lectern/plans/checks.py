@@ -11,8 +11,13 @@ Check = Callable[[dict, DataFrame], DataFrame]
 CHECKS: dict[str, Check] = {
     "dag": lambda t, phrases: graph.dag_flags(t),
     "briefs": lambda t, phrases: union(briefs.brief_flags(t, phrases), quiz.quiz_flags(t), challenges.challenge_flags(t)),
-    **{name: (lambda t, phrases, name=name: course.course_flags(t)[name])
-       for name in ("ladder", "capstone", "outcomes", "research", "artifacts", "length", "routing")},
+    "ladder": lambda t, phrases: course.ladder_flags(t),
+    "capstone": lambda t, phrases: course.capstone_untaught(t["courses"], t["capstone_skills"], t["teaches"]),
+    "outcomes": lambda t, phrases: course.outcome_flags(t),
+    "research": lambda t, phrases: course.research_flags(t),
+    "artifacts": lambda t, phrases: course.artifact_flags(t),
+    "length": lambda t, phrases: course.length_mismatch(t["courses"]),
+    "routing": lambda t, phrases: course.routing_budget(t["courses"]),
 }
 
 
@@ -23,10 +28,5 @@ def run_checks(tables: dict, phrases: DataFrame, names=None) -> DataFrame:
 
 def draft_flags(texts: DataFrame, phrases: DataFrame, stems: DataFrame | None = None) -> DataFrame:
     """All draft rules. stems (course_id, stem, kind, opener) adds the rule that needs the manifest."""
-    metrics = drafts.draft_metrics(texts)
-    _, defects = drafts.parse_visuals(texts)
-    flags = union(
-        drafts.no_title(texts), drafts.visual_floor(metrics), drafts.visual_defects(defects), drafts.visual_quality(texts),
-        drafts.prose_wall(metrics), corpus.draft_blocklist(texts, phrases), drafts.tool_without_install(texts),
-        drafts.dash_policy(drafts.dash_count(texts)), drafts.depth_band(metrics), drafts.paragraph_rhythm(texts))
-    return flags if stems is None else union(flags, drafts.late_first_do(metrics, stems))
+    flags = union(drafts.all_findings(texts), corpus.draft_blocklist(texts, phrases))
+    return flags if stems is None else union(flags, drafts.late_first_do(drafts.draft_metrics(texts), stems))

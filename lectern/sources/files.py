@@ -2,7 +2,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern import schemas
-from lectern.functions.text import strip
+from lectern.functions.text import is_json, strip
 
 DRAFT_PATH = r"([^/]+)/lessons/drafts/(m\d+-l\d[^/]*)\.md\z"
 ASSET_PATH = r"([^/]+)/lessons/assets/([^/]+)/([^/]+)\z"
@@ -54,7 +54,8 @@ def parse_paths(listing: DataFrame, pattern: str, *more: str) -> DataFrame:
 
 def test_cases(test_files: DataFrame) -> DataFrame:
     """The cases of well-formed test files: (course_id, path, case_id, input, expected)."""
-    return (test_files.select("course_id", "path", F.explode(F.from_json("value", schemas.TEST_CASES)).alias("t"))
+    arrays = test_files.filter(is_json(F.col("value")) & F.col("value").rlike(r"\A\s*\["))
+    return (arrays.select("course_id", "path", F.explode(F.from_json("value", schemas.TEST_CASES)).alias("t"))
             .select("course_id", "path", F.col("t.id").alias("case_id"), "t.input", F.col("t.expectedOutput").alias("expected")))
 
 

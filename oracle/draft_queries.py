@@ -60,7 +60,7 @@ DEDASHED = f"""SELECT d, course_id, stem, string_agg(CASE WHEN is_f THEN line WH
 add("d04_dedash", lambda t, s, sf: drafts.dedash(t).select("course_id", "stem", F.md5("md").alias("md5")), f"SELECT course_id, stem, md5(md) AS md5 FROM ({DEDASHED})")
 add("d05_visual_specs", lambda t, s, sf: drafts.parse_visuals(t)[0].withColumn("n", F.col("n").cast("bigint")),
     "SELECT course_id, stem, n, v_type AS type, v_title AS title, v_purpose AS purpose, v_data AS data, v_prompt AS prompt, v_alt AS alt, valid FROM vv")
-add("d05_visual_defects", lambda t, s, sf: drafts.visual_defects(drafts.parse_visuals(t)[1]),
+add("d05_visual_defects", lambda t, s, sf: drafts.visual_defects(t),
     flag_sql("drafts", "visual_defect", H, "stem", "n || ':' || CASE WHEN closer IS NULL THEN 'unclosed' ELSE 'glued' END",
              "FROM vis JOIN dr USING (d) WHERE closer IS NULL OR closer <> '```'"))
 add("d06_draft_metrics", lambda t, s, sf: metrics_out(drafts.draft_metrics(t)), f"SELECT {METRICS} FROM m")
