@@ -4,7 +4,7 @@ from pyspark.sql import Column, functions as F
 from lectern.functions import fences as fn
 from lectern.functions.text import strip, total
 
-DASH = "—|–| -- "
+DASH = "[—–]| -- "
 
 # Fixed values: (pattern, replacement) in order, for one line of prose without its indent.
 PROSE_STEPS = [

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 from lectern import vocab
 from lectern.functions import dashes, fences as fn
 from lectern.functions.text import ANY_SPACE, SPACE, is_blank, present, strip, total, word_count
-from lectern.operators.flags import ADVISORY, HARD, emit, finding, flag
+from lectern.operators.flags import ADVISORY, HARD, emit, exploded, finding, flag, gathered
 
 KEY = ["course_id", "stem"]
 
@@ -96,13 +96,19 @@ def draft_metrics(drafts: DataFrame) -> DataFrame:
     return _measured(drafts).select(*KEY, *METRICS)
 
 
-def all_findings(drafts: DataFrame) -> DataFrame:
-    """All rules that need the draft alone, in one pass over the text and without a shuffle."""
+def assessed(drafts: DataFrame) -> DataFrame:
+    """Metrics and findings of each draft in one row: one pass over the text and no shuffle."""
     read = _measured(drafts).withColumns({
         "dashes": dashes.count_in(F.col("segs"), F.col("labels")), "sentences": _sentence_counts(F.col("segs")),
         "tool": _unset_tool(F.col("segs"), F.col("labels"), vocab.TOOL_INSTALLERS)})
-    return emit(read, "drafts", _title_finding(), _floor_finding(), _one_type_finding(), _wall_finding(), _tool_finding(),
-                _dash_finding(), _depth_finding(), _rhythm_finding(), lists=(_defect_findings(), _alt_findings()))
+    found = gathered(_title_finding(), _floor_finding(), _one_type_finding(), _wall_finding(), _tool_finding(), _dash_finding(),
+                     _depth_finding(), _rhythm_finding(), lists=(_defect_findings(), _alt_findings()))
+    return read.select(*KEY, *METRICS, "dashes", found.alias("findings"))
+
+
+def all_findings(drafts: DataFrame) -> DataFrame:
+    """All rules that need the draft alone."""
+    return exploded(assessed(drafts).select("course_id", "findings"), "drafts", F.col("findings"))
 
 
 # ---- rules: each finding is a column, so that all of them can share one reading of the text ---------
@@ -239,7 +245,7 @@ def _sentence_counts(segs):
     """
     kept = F.regexp_replace(fn.prose(segs), rf"(?dm)^[{SPACE}]*[#\-|>*1-9][^\n]*(?:\n|\z)", "")
     paras = F.split(F.regexp_replace(kept, rf"(?dm)^[{SPACE}]+$", ""), r"\n\n+", -1)
-    flat = F.transform(paras, lambda p: strip(F.regexp_replace(p, rf"[{SPACE}]*\n[{SPACE}]*", " ")))
+    flat = F.transform(paras, lambda p: strip(F.array_join(F.transform(F.split(p, "\n", -1), strip), " ")))
     long_ones = F.filter(flat, lambda p: word_count(p) > 10)
     return F.transform(long_ones, lambda p: F.size(
         F.filter(F.split(p, rf"[.?][{ANY_SPACE}]", -1), lambda s: ~is_blank(s))).cast("bigint"))

@@ -29,12 +29,21 @@ def finding(condition: Column, rule: str, severity, subject, detail="") -> Colum
         F.coalesce(_text(subject), F.lit("")).alias("subject"), F.coalesce(_text(detail), F.lit("")).alias("detail")))
 
 
+def gathered(*findings: Column, lists: tuple[Column, ...] = ()) -> Column:
+    """All findings of a row as one array; `lists` are arrays of findings."""
+    parts = [F.array_compact(F.array(*findings))] if findings else []
+    parts += [F.coalesce(x, F.array().cast(FINDINGS)) for x in lists]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
+def exploded(df: DataFrame, check: str, findings: Column) -> DataFrame:
+    rows = df.select(F.col("course_id").cast("string").alias("course_id"), F.explode(findings).alias("f"))
+    return rows.select("course_id", F.lit(check).alias("check_name"), "f.rule", "f.severity", "f.subject", "f.detail")
+
+
 def emit(df: DataFrame, check: str, *findings: Column, lists: tuple[Column, ...] = ()) -> DataFrame:
-    """Flags of all findings of a row in one pass over df; `lists` are arrays of findings."""
-    one_each = F.array_compact(F.array(*findings)) if findings else None
-    parts = ([one_each] if findings else []) + [F.coalesce(x, F.array().cast(FINDINGS)) for x in lists]
-    found = df.select(F.col("course_id").cast("string").alias("course_id"), F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("f"))
-    return found.select("course_id", F.lit(check).alias("check_name"), "f.rule", "f.severity", "f.subject", "f.detail")
+    """Flags of all findings of a row in one pass over df."""
+    return exploded(df, check, gathered(*findings, lists=lists))
 
 
 FINDINGS = "array<struct<rule:string,severity:string,subject:string,detail:string>>"

@@ -26,3 +26,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use the whole cluster on a source of few splits; a source that has enough of them is left alone.
+
+    In-row text work costs far more than reading, so one big row group must not become one long task.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, key)

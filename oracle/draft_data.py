@@ -8,6 +8,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lectern.session import spread
 from oracle.shared import staged
 
 NL = "chr(10)"
@@ -67,7 +68,7 @@ STEM = "'m' || lpad(CAST(d % 30 AS STRING), 2, '0') || '-l' || d"
 
 
 def draft_rows(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select(
+    docs = spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text"), "doc_id").select(
         F.col("doc_id").alias("d"), F.col("source").alias("course_id"), F.split("text", "\n", -1).alias("lines"))
     line = qualified(LINE)
     pieces = F.expr("transform(lines, (x, j) -> named_struct('x', x, 'i', j + 1, 'g', CAST(floor((j + 1) / 6) AS INT)))")

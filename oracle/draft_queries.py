@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern import vocab
 from lectern.operators import code, corpus, drafts, flatten, publish, state, visuals
-from lectern.operators.flags import union
 from lectern.plans.checks import draft_flags
 from lectern.sources import files
 from oracle import draft_data as dd, manifest_data as md
@@ -30,12 +29,12 @@ def metrics_out(m: DataFrame) -> DataFrame:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics of each draft with the flags that rest on them."""
-    texts = dd.drafts(spark, sf)
-    m = drafts.draft_metrics(texts)
-    found = union(drafts.prose_wall(m), drafts.dash_policy(drafts.dash_count(texts)), drafts.depth_band(m))
-    per_draft = found.groupBy("course_id", F.col("subject").alias("stem")).agg(
-        F.array_join(F.sort_array(F.collect_set("rule")), ",").alias("rules"), F.count_if(F.col("severity") == "HARD").alias("hard"))
-    return metrics_out(m).join(per_draft, ["course_id", "stem"], "left").na.fill({"rules": "", "hard": 0})
+    rows = drafts.assessed(dd.drafts(spark, sf))
+    wanted = F.filter("findings", lambda f: f["rule"].isin("prose_wall", "dash_policy", "depth_band"))
+    found = rows.withColumn("wanted", wanted)
+    return metrics_out(found).select(
+        "course_id", "stem", *drafts.METRICS, F.array_join(F.array_sort(F.transform("wanted", lambda f: f["rule"])), ",").alias("rules"),
+        F.size(F.filter("wanted", lambda f: f["severity"] == "HARD")).cast("bigint").alias("hard"))
 
 
 METRICS = "course_id, stem, prose_words, longest_wall, wall_end_line, first_code_words, first_fence_words, visual_blocks, visual_valid, visual_types"

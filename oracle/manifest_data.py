@@ -7,6 +7,7 @@ oracle uses the scalars directly. Remainders of d + i plant every defect the rul
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.plans.staging import staged_catalog
+from lectern.session import spread
 from lectern.sources.manifests import parse_manifests
 from oracle.shared import once, staged
 
@@ -145,7 +146,7 @@ EDGE_DST = "CASE WHEN d % 3 = 0 THEN 's' || (i % 8 + 1) ELSE 's' || (i * 3 + len
 
 def manifest_texts(spark: SparkSession, sf: str) -> DataFrame:
     """texts(path, value): the manifest of each document as JSON."""
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select(
+    docs = spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "doc_id").select(
         F.col("doc_id").alias("d"), F.split("text", "\n", -1).alias("lines"))
     n = "size(lines)"
     parts = docs.select(

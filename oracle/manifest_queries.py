@@ -134,8 +134,8 @@ def doc_phrases(spark, sf):
     def heads(df, col):
         return df.select(F.lower(F.array_join(F.slice(F.split(col, " ", -1), 2, 2), " ")).alias("phrase"))
     docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id % 20 = 0")
-    return (heads(spark.read.parquet(f"{sf}/benchmark.parquet"), "text").unionByName(heads(docs, "text"))
-            .filter(F.length("phrase") >= 4).distinct())
+    return staged(spark, sf, "phrases", lambda: heads(spark.read.parquet(f"{sf}/benchmark.parquet"), "text").unionByName(heads(docs, "text"))
+                  .filter(F.length("phrase") >= 4).distinct())
 
 
 PHRASES = """SELECT DISTINCT phrase FROM (SELECT lower(array_to_string(list_slice(string_split(text, ' '), 2, 3), ' ')) AS phrase FROM benchmark
