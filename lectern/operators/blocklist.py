@@ -36,7 +36,7 @@ def hits(texts: DataFrame, keys: list[str], column: str, phrases: DataFrame,
 def _by_literal(low: DataFrame, keys: list[str], phrases: DataFrame, most: int) -> DataFrame:
     values = sorted(r.phrase for r in phrases.limit(most).collect())
     found = F.filter(literal_array(values) if values else F.array().cast("array<string>"), lambda p: F.contains("_low", p))
-    return low.select(*keys, F.explode(found).alias("phrase"))
+    return low.select(*keys, F.explode_outer(found).alias("phrase")).filter("phrase is not null")
 
 
 def _by_anchor(low: DataFrame, keys: list[str], phrases: DataFrame, lengths: list[int], small: bool) -> DataFrame:
@@ -48,7 +48,7 @@ def _by_anchor(low: DataFrame, keys: list[str], phrases: DataFrame, lengths: lis
         return F.transform(starts, lambda i: F.substring(F.col("_low"), i, F.lit(n)))
 
     runs = [runs_of(n) for n in lengths]
-    offered = low.select(*keys, F.explode(F.array_distinct(F.concat(*runs) if len(runs) > 1 else runs[0])).alias("_anchor"))
+    offered = low.select(*keys, F.explode_outer(F.array_distinct(F.concat(*runs) if len(runs) > 1 else runs[0])).alias("_anchor"))
     # Broadcast only after its size was measured; beyond that the join shuffles on the anchor.
     side = F.broadcast(anchored) if small else anchored
     candidates = offered.join(side, "_anchor").select(*keys, "phrase").distinct()

@@ -18,7 +18,7 @@ def extract_blocks(drafts: DataFrame) -> DataFrame:
         (i + 1).alias("n_all"), b["lang"].alias("lang"),
         F.size(F.filter(F.slice("blocks", 1, i + 1), lambda x: x["lang"] == b["lang"])).alias("n"),
         b["info"].alias("info"), b["code"].alias("code")))
-    return known.select("course_id", "stem", F.explode(numbered).alias("b")).select("course_id", "stem", "b.*")
+    return known.select("course_id", "stem", F.explode_outer(numbered).alias("b")).filter("b is not null").select("course_id", "stem", "b.*")
 
 
 # ---- classification ----------------------------------------------------------------------------
@@ -295,7 +295,7 @@ def expectations(drafts: DataFrame, tags: dict[str, list[str]] | None = None) ->
         F.when(i > 0, F.get("typed", i - 1)["is_mark"]).alias("marked"),
         F.when(i > 0, F.get("typed", i - 1)["reason"]).alias("reason")))
     rows = (drafts.select("course_id", "stem", tokens.alias("tokens")).select("course_id", "stem", typed.alias("typed"))
-            .select("course_id", "stem", F.explode(numbered).alias("x")).select("course_id", "stem", "x.*"))
+            .select("course_id", "stem", F.explode_outer(numbered).alias("x")).select("course_id", "stem", "x.*"))
     return (rows.filter("lang is not null and marked")
             .select(*BLOCK, F.coalesce(F.nullif("reason", F.lit("")), F.lit("declared expect-fail")).alias("reason")))
 

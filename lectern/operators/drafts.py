@@ -57,7 +57,7 @@ def _is_valid(spec):
 
 def parse_visuals(drafts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """visuals(…, n, type, title, purpose, data, prompt, alt, valid), defects(…, n, defect)."""
-    one = _with_visuals(drafts).select(*KEY, F.posexplode("_specs").alias("n", "b")).withColumn("n", F.col("n") + 1)
+    one = _with_visuals(drafts).select(*KEY, F.posexplode_outer("_specs").alias("n", "b")).filter("n is not null").withColumn("n", F.col("n") + 1)
     visuals = one.select(*KEY, "n", "b.spec.*", _is_valid(F.col("b.spec")).alias("valid"))
     defects = (one.withColumn("defect", F.when(F.col("b.close") == "", "unclosed")
                               .when(F.col("b.close") != "```", "glued"))
@@ -326,7 +326,7 @@ def project_prose(drafts: DataFrame, assets: DataFrame) -> tuple[DataFrame, Data
         g, F.coalesce(embed(F.get("specs", i)), F.lit("")))), "")
     text = F.concat(F.regexp_replace(body, rf"[{ANY_SPACE}]+\z", ""), F.lit("\n"))
     prose = laid.select(*KEY, text.alias("prose"))
-    warnings = (laid.select(*KEY, F.posexplode("specs").alias("n", "s")).filter("s.file is null")
+    warnings = (laid.select(*KEY, F.posexplode_outer("specs").alias("n", "s")).filter("n is not null and s.file is null")
                 .select(*KEY, (F.col("n") + 1).alias("n"), F.col("s.title").alias("title")))
     return prose, warnings
 

@@ -37,7 +37,8 @@ def gathered(*findings: Column, lists: tuple[Column, ...] = ()) -> Column:
 
 
 def exploded(df: DataFrame, check: str, findings: Column) -> DataFrame:
-    rows = df.select(F.col("course_id").cast("string").alias("course_id"), F.explode(findings).alias("f"))
+    # The outer form keeps the optimizer from testing the array (and so computing it) a second time below.
+    rows = df.select(F.col("course_id").cast("string").alias("course_id"), F.explode_outer(findings).alias("f")).filter("f is not null")
     return rows.select("course_id", F.lit(check).alias("check_name"), "f.rule", "f.severity", "f.subject", "f.detail")
 
 

@@ -50,7 +50,7 @@ def css_lint(pages: DataFrame, banned=tuple(vocab.FORBIDDEN_CSS), pattern: str |
     """pages(page_id, html). Without a card pattern the whole page is read with its comments removed."""
     text = card_body(F.col("html"), pattern) if pattern else F.regexp_replace("html", r"(?s)<!--.*?-->", "")
     read = pages.select("page_id", text.alias("text"))
-    return read.select("page_id", F.explode(F.filter(literal_array(list(banned)), lambda b: F.contains("text", b))).alias("css"))
+    return read.select("page_id", F.explode_outer(F.filter(literal_array(list(banned)), lambda b: F.contains("text", b))).alias("css")).filter("css is not null")
 
 
 def density_class(pages: DataFrame, pattern: str = CARD) -> DataFrame:

@@ -4,6 +4,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Settings for a session of one's own. A cluster's own values should win over the size-dependent ones.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    # Rules are built from many small column expressions; recording a call site for each is most of the build time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
+    for name, value in SETTINGS.items():
+        builder = builder.config(name, value)
+    return builder
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a folder of our own only where none is named (tests)."""
