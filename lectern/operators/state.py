@@ -2,7 +2,6 @@
 from pyspark.sql import DataFrame, functions as F
 
 from lectern import vocab
-from lectern.functions.text import literal_array
 from lectern.operators.flags import HARD, flag
 from lectern.operators.order import position_key
 
@@ -73,7 +72,3 @@ def facts_present(facts: DataFrame, drafts: DataFrame) -> DataFrame:
     """facts(course_id, stem, pos, fact): each must stand in its draft word for word."""
     lost = facts.join(drafts, ["course_id", "stem"]).filter(~F.contains("md", F.col("fact")))
     return flag(lost, "drafts", "fact_absent", HARD, F.col("stem"), F.col("pos"))
-
-
-def lifecycle_steps():
-    return literal_array(vocab.LIFECYCLE)

@@ -6,10 +6,10 @@ share the rules but not the method.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern import vocab
-from lectern.operators import code, corpus, drafts, flatten, publish, state, visuals
+from lectern.operators import code, corpus, drafts, publish, visuals
 from lectern.plans.checks import draft_flags
 from lectern.sources import files
-from oracle import draft_data as dd, manifest_data as md
+from oracle import draft_data as dd
 from oracle.shared import flag_sql, union_sql, with_ctes
 
 H, A = "'HARD'", "'advisory'"

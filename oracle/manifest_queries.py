@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern import vocab
 from lectern.functions.text import module_slug
-from lectern.operators import briefs, challenges, course, flatten, graph, publish, quiz
+from lectern.operators import briefs, challenges, course, graph, publish, quiz
 from lectern.operators.flags import union
 from lectern.operators.gate import check_verdicts, gate, severity_matrix, suite_report
 from lectern.plans.checks import run_checks
