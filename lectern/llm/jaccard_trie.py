@@ -7,13 +7,16 @@ ascending order puts rare shingles first in all sets alike. Levels come from cou
 1. Documents of equal sets form a class; its smallest doc_id stands for it.
 2. Two sets of Jaccard similarity T or more share one of their first n - ceil(T n) + 1 shingles. All classes that have such a
    shingle meet at the smallest of them, their centre, so the members of one centre contain every pair still possible.
-3. The sets of a centre's members are stored in a trie, and each is matched against it from the root: overlaps along a path
+3. Members that share a passage only are parted before any whole set is sent: two sets overlap by no more than the sum, over BINS
+   bins of the shingles, of the smaller count, so pairs whose sum is below the needed overlap are out. What may still be similar
+   stays together as a group; equal groups of several centres are taken once.
+4. The sets of a group are stored in a trie, and each is matched against it from the root: overlaps along a path
    are counted once for all sets below, and a subtree is left when the shingles remaining on either side cannot reach the needed
    overlap, or when all below is linked with the set already. What is returned are links that span the components.
-4. A centre with many members is cut into slices that all hold the centre. Members that did not reach the centre's component are
+5. A centre with many members is cut into slices that all hold the centre. Members that did not reach the centre's component are
    then matched against every other slice.
 
-No pair list is made, whole texts are read, and nothing is capped.
+No list of all pairs is made, whole texts are read, and nothing is capped.
 
 Defined results: null and empty texts have an empty set and link with nothing; rows of one doc_id are one node, but
 each row keeps its own set size; a row without doc_id links with nothing and has a null component.
@@ -33,7 +36,9 @@ from lectern.session import fresh_path
 SHINGLE, NEED = 4, (85, 100)
 SKETCH_BITS = 18
 CHUNK = 1 << 10
-SLICE = 2000  # members of a centre in one task
+SLICE = 4000  # members of a centre in one task
+BINS = 128
+FULL = 255  # a bin that can't count on; such sets are compared by size alone
 
 
 def shingle_hashes(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,17 +100,18 @@ def prefix_length(n: int) -> int:
 
 
 def _sets_task(levels: np.ndarray, whole: bool) -> Callable:
-    """whole: (id, tokens) with all of a set; else (id, n, c1, c2, tokens) with its prefix."""
+    """whole: (id, tokens) with all of a set; else (id, n, c1, c2, bins, tokens) with its prefix."""
     def task(batches):
         for b in batches:
             for lo, hi, shingles, bounds in _shingled(b.column(1)):
-                c1, c2, sizes, lists, lengths = [], [], [], [], []
+                c1, c2, sizes, bins, lists, lengths = [], [], [], [], [], []
                 place = coefficients(int(np.diff(bounds).max(initial=1)) + 1, 5)
                 for own in ordered_sets(shingles, bounds, levels):
                     sizes.append(len(own))
                     if not whole:
                         c1.append(int((own * place[:len(own)]).sum(dtype=np.uint64)))
                         c2.append(int((mixed(own) * place[:len(own)]).sum(dtype=np.uint64)))
+                        bins.append(np.minimum(np.bincount((own & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), FULL).astype(np.uint8).tobytes())
                         own = own[:prefix_length(len(own))]
                     lists.append(own)
                     lengths.append(len(own))
@@ -115,7 +121,8 @@ def _sets_task(levels: np.ndarray, whole: bool) -> Callable:
                     yield pa.RecordBatch.from_arrays([ids, tokens], names=["id", "tokens"])
                 else:
                     yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(np.array(c1, np.uint64).view(np.int64)),
-                                                      pa.array(np.array(c2, np.uint64).view(np.int64)), tokens], names=["id", "n", "c1", "c2", "tokens"])
+                                                      pa.array(np.array(c2, np.uint64).view(np.int64)), pa.array(bins, pa.binary()), tokens],
+                                                     names=["id", "n", "c1", "c2", "bins", "tokens"])
     return task
 
 
@@ -207,30 +214,97 @@ def spanning_links(ids: list[int], sets: list[np.ndarray], known: list[int]) ->
     return found
 
 
-def _match_task(batches):
-    """Rows (centre, slice, id, known, tokens) sorted by centre and slice, to links (a, b); one group is held at a time."""
-    key, rows = None, ([], [], [])
+def _groups(batches, width: int) -> Iterator[tuple[list, ...]]:
+    """Rows sorted by their first `width` columns, one group at a time, as lists of the other columns."""
+    key, rows = None, None
     for b in batches:
-        ids, known, tokens = b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4)
-        for r, k in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-            if k != key:
-                yield from _links(rows)
-                key, rows = k, ([], [], [])
-            own = np.array(tokens[r].values, dtype=np.int64).view(np.uint64)
-            for column, value in zip(rows, (ids[r], own, known[r])):
-                column.append(value)
-    yield from _links(rows)
+        keys = list(zip(*(b.column(i).to_pylist() for i in range(width))))
+        others = [b.column(i) for i in range(width, b.num_columns)]
+        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi == lo:
+                continue
+            if keys[lo] != key:
+                if rows:
+                    yield tuple(rows)
+                key, rows = keys[lo], [[] for _ in others]
+            for column, values in zip(rows, others):
+                column.extend(values.slice(lo, hi - lo))
+    if rows:
+        yield tuple(rows)
+
+
+def possible_groups(sizes: np.ndarray, bins: np.ndarray) -> list[int]:
+    """For each set the first set of its group; sets of different groups are surely not similar."""
+    order = np.argsort(sizes, kind="stable")
+    sizes, bins = sizes[order], bins[order].astype(np.int16)
+    full = (bins == FULL).any(axis=1)
+    parent = list(range(len(sizes)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
 
+    block = 64
+    for lo in range(0, len(sizes), block):
+        hi = min(lo + block, len(sizes))
+        end = int(np.searchsorted(sizes, sizes[hi - 1] * NEED[1] // NEED[0], "right"))
+        for start in range(lo, end, 1024):
+            stop = min(start + 1024, end)
+            both = sizes[lo:hi, None] + sizes[None, start:stop]
+            most = np.where(full[lo:hi, None] | full[None, start:stop], np.minimum(sizes[lo:hi, None], sizes[None, start:stop]),
+                            np.minimum(bins[lo:hi, None, :], bins[None, start:stop, :]).sum(axis=2, dtype=np.int64))
+            for i, j in np.argwhere((NEED[0] + NEED[1]) * most >= NEED[0] * both).tolist():
+                a, b = find(lo + i), find(start + j)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+    out = [0] * len(sizes)
+    for i in range(len(sizes)):
+        out[order[i]] = int(order[find(i)])
+    return out
+
+
+def _possible_task(batches):
+    """Rows (centre, slice, id, known, n, bins) sorted by centre and slice, to (g1, g2, id, known); a group's number follows from its members."""
+    for ids, known, sizes, bins in _groups(batches, 2):
+        ids, known = [x.as_py() for x in ids], [x.as_py() for x in known]
+        counts = np.frombuffer(b"".join(x.as_py() for x in bins), np.uint8).reshape(-1, BINS)
+        members: dict[int, list[int]] = {}
+        for i, g in enumerate(possible_groups(np.array([x.as_py() for x in sizes]), counts)):
+            members.setdefault(g, []).append(i)
+        out = []
+        for rows in members.values():
+            if len({known[i] for i in rows}) > 1:
+                own = mixed(np.sort(np.array([ids[i] for i in rows], np.int64)).view(np.uint64))
+                g1, g2 = (int((own * coefficients(len(own), seed)).sum(dtype=np.uint64).view(np.int64)) for seed in (8, 9))
+                out.extend((g1, g2, ids[i], known[i]) for i in rows)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["g1", "g2", "id", "known"])
 
-def _links(rows):
-    found = spanning_links(*rows) if len(rows[0]) > 1 else []
-    if found:
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+
+def _match_task(batches):
+    """Rows (g1, g2, id, known, tokens) sorted by group, to links (a, b)."""
+    for ids, known, tokens in _groups(batches, 2):
+        sets = [np.asarray(x.values).view(np.uint64) for x in tokens]
+        found = spanning_links([x.as_py() for x in ids], sets, [x.as_py() for x in known])
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
 
-def _matched(members: DataFrame) -> DataFrame:
-    return (members.select("centre", "slice", "id", "known", "tokens").repartition("centre", "slice").sortWithinPartitions("centre", "slice", "id")
-            .mapInArrow(_match_task, "a bigint, b bigint"))
+def _linked(members: DataFrame, features: DataFrame, docs: DataFrame, levels: np.ndarray, path: str) -> DataFrame:
+    """Links (a, b) inside the slices of members (centre, slice, id, known)."""
+    spark = docs.sparkSession
+    possible = (members.join(features, "id").select("centre", "slice", "id", "known", "n", "bins").repartition("centre", "slice")
+                .sortWithinPartitions("centre", "slice", "id").mapInArrow(_possible_task, "g1 bigint, g2 bigint, id bigint, known bigint").distinct())
+    possible.write.parquet(f"{path}/groups")
+    groups = spark.read.parquet(f"{path}/groups")
+    near = (maybe_in(docs.withColumnRenamed("doc_id", "id"), "id", key_bits(groups.select("id"), "id")).filter("_maybe").select("id", "text"))
+    sets = near.mapInArrow(_sets_task(levels, True), "id bigint, tokens array<bigint>").repartition("id").dropDuplicates(["id", "tokens"])
+    (groups.join(sets, "id").select("g1", "g2", "id", "known", "tokens").repartition("g1", "g2").sortWithinPartitions("g1", "g2", "id")
+     .mapInArrow(_match_task, "a bigint, b bigint").write.parquet(f"{path}/links"))
+    return spark.read.parquet(f"{path}/links")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -238,47 +312,40 @@ def similar_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     levels = frequency_levels(docs)
-    path = fresh_path(spark, "jaccard-prefixes")
-    docs.mapInArrow(_sets_task(levels, False), "id bigint, n bigint, c1 bigint, c2 bigint, tokens array<bigint>").write.parquet(path)
-    rows = spark.read.parquet(path)
+    path = fresh_path(spark, "jaccard")
+    (docs.mapInArrow(_sets_task(levels, False), "id bigint, n bigint, c1 bigint, c2 bigint, bins binary, tokens array<bigint>")
+     .write.parquet(f"{path}/prefixes"))
+    rows = spark.read.parquet(f"{path}/prefixes")
     whole = rows.filter("n > 0 AND id IS NOT NULL")
     classes = whole.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
     first = whole.join(classes.select("c1", "c2", F.col("rep").alias("id")), ["c1", "c2", "id"], "leftsemi")
     entries = first.select("id", F.explode("tokens").alias("token"))
     centres = entries.groupBy("token").agg(F.min("id").alias("centre"), F.max("id").alias("_last")).filter("centre < _last").select("token", "centre")
-    met_path = fresh_path(spark, "jaccard-members")
-    entries.join(centres, "token").select("centre", "id").distinct().write.parquet(met_path)
-    met = spark.read.parquet(met_path)
-    wanted = met.select("id").distinct()
-    sets = (maybe_in(docs.withColumnRenamed("doc_id", "id"), "id", key_bits(wanted, "id")).filter("_maybe").select("id", "text")
-            .mapInArrow(_sets_task(levels, True), "id bigint, tokens array<bigint>").repartition("id").dropDuplicates(["id", "tokens"]))
+    entries.join(centres, "token").select("centre", "id").distinct().write.parquet(f"{path}/members")
+    met = spark.read.parquet(f"{path}/members")
+    features = whole.select("id", "n", "bins")
     sizes = met.groupBy("centre").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
     own_slice = F.when(F.col("id") == F.col("centre"), F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("id"), F.col("slices"))))
-    sliced = met.join(sizes, "centre").withColumn("slice", F.explode(own_slice))
-    tables = fresh_path(spark, "jaccard-links")
-    _matched(sliced.join(sets, "id").withColumn("known", F.col("id"))).write.parquet(f"{tables}/0")
-    links = spark.read.parquet(f"{tables}/0")
+    sliced = met.join(sizes, "centre").select("centre", F.explode(own_slice).alias("slice"), "id", F.col("id").alias("known"))
+    links = _linked(sliced, features, docs, levels, f"{path}/0")
     many = sizes.filter("slices > 1")
     if many.head(1):
-        links = links.union(_across(met, many, sets, links, f"{tables}/1"))
+        links = links.union(_linked(_across(met, many, links), features, docs, levels, f"{path}/1"))
     again = whole.select("id", "c1", "c2").join(classes, ["c1", "c2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     joined = components(links.union(again))
     return (rows.join(joined.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
 
-def _across(met: DataFrame, many: DataFrame, sets: DataFrame, links: DataFrame, path: str) -> DataFrame:
-    """Links between the slices of a centre: members outside the centre's component visit every slice."""
-    spark = met.sparkSession
+def _across(met: DataFrame, many: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of sliced centres once more: those outside the centre's component visit every slice, the others stay in their own."""
     joined = components(links)
     placed = (met.join(many, "centre").join(joined, "id", "left").withColumn("known", F.coalesce("component", "id")).drop("component")
               .join(joined.select(F.col("id").alias("centre"), F.col("component").alias("_home")), "centre", "left")
-              .withColumn("_stray", F.col("known") != F.coalesce("_home", "centre"))
-              .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("slices"))))
+              .withColumn("_stray", F.col("known") != F.coalesce("_home", "centre")))
     strays = placed.filter("_stray")
     visits = strays.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)))
-    stay = placed.filter("NOT _stray").join(strays.select("centre").distinct(), "centre", "leftsemi").withColumn("slice", F.col("_own"))
-    both = visits.select("centre", "slice", "id", "known").union(stay.select("centre", "slice", "id", "known"))
-    _matched(both.join(sets, "id")).write.parquet(path)
-    return spark.read.parquet(path)
+    stay = (placed.filter("NOT _stray").join(strays.select("centre").distinct(), "centre", "leftsemi")
+            .withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices"))))
+    return visits.select("centre", "slice", "id", "known").union(stay.select("centre", "slice", "id", "known"))
