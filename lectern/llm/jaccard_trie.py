@@ -7,7 +7,7 @@ ascending order puts rare shingles first in all sets alike. Levels come from cou
 1. Documents of equal sets form a class; its smallest doc_id stands for it.
 2. Two sets of Jaccard similarity T or more share one of their first n - ceil(T n) + 1 shingles. All classes that have such a
    shingle meet at the smallest of them, their centre, so the members of one centre contain every pair still possible.
-3. Members that share a passage only are parted before any whole set is sent: two sets overlap by no more than the sum, over BINS
+3. Members that share a passage only are parted before any whole set is sent: two sets overlap by no more than the sum, over
    bins of the shingles, of the smaller count, so pairs whose sum is below the needed overlap are out. What may still be similar
    stays together as a group; equal groups of several centres are taken once.
 4. The sets of a group are stored in a trie, and each is matched against it from the root: overlaps along a path
@@ -37,7 +37,7 @@ SHINGLE, NEED = 4, (85, 100)
 SKETCH_BITS = 18
 CHUNK = 1 << 10
 SLICE = 4000  # members of a centre in one task
-BINS = 128
+FEW_BINS, PER_BIN = 64, 4  # bins of a set are a power of two that grows with it, so that a bin holds PER_BIN shingles at most on average
 FULL = 255  # a bin that can't count on; such sets are compared by size alone
 
 
@@ -95,6 +95,13 @@ def ordered_sets(shingles: np.ndarray, bounds: np.ndarray, levels: np.ndarray) -
         yield own[np.append(True, own[1:] != own[:-1])] if len(own) else own
 
 
+def binned(own: np.ndarray) -> np.ndarray:
+    n = FEW_BINS
+    while n * PER_BIN < len(own):
+        n *= 2
+    return np.minimum(np.bincount((own & np.uint64(n - 1)).astype(np.int64), minlength=n), FULL).astype(np.uint8)
+
+
 def prefix_length(n: int) -> int:
     return n - -(-n * NEED[0] // NEED[1]) + 1 if n else 0
 
@@ -111,7 +118,7 @@ def _sets_task(levels: np.ndarray, whole: bool) -> Callable:
                     if not whole:
                         c1.append(int((own * place[:len(own)]).sum(dtype=np.uint64)))
                         c2.append(int((mixed(own) * place[:len(own)]).sum(dtype=np.uint64)))
-                        bins.append(np.minimum(np.bincount((own & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), FULL).astype(np.uint8).tobytes())
+                        bins.append(binned(own).tobytes())
                         own = own[:prefix_length(len(own))]
                     lists.append(own)
                     lengths.append(len(own))
@@ -234,11 +241,11 @@ def _groups(batches, width: int) -> Iterator[tuple[list, ...]]:
         yield tuple(rows)
 
 
-def possible_groups(sizes: np.ndarray, bins: np.ndarray) -> list[int]:
+def possible_groups(sizes: np.ndarray, bins: list[np.ndarray]) -> list[int]:
     """For each set the first set of its group; sets of different groups are surely not similar."""
     order = np.argsort(sizes, kind="stable")
-    sizes, bins = sizes[order], bins[order].astype(np.int16)
-    full = (bins == FULL).any(axis=1)
+    sizes = sizes[order]
+    widths = np.array([len(bins[i]) for i in order])
     parent = list(range(len(sizes)))
 
     def find(i):
@@ -247,19 +254,32 @@ def possible_groups(sizes: np.ndarray, bins: np.ndarray) -> list[int]:
             i = parent[i]
         return i
 
-    block = 64
-    for lo in range(0, len(sizes), block):
-        hi = min(lo + block, len(sizes))
-        end = int(np.searchsorted(sizes, sizes[hi - 1] * NEED[1] // NEED[0], "right"))
-        for start in range(lo, end, 1024):
-            stop = min(start + 1024, end)
-            both = sizes[lo:hi, None] + sizes[None, start:stop]
-            most = np.where(full[lo:hi, None] | full[None, start:stop], np.minimum(sizes[lo:hi, None], sizes[None, start:stop]),
-                            np.minimum(bins[lo:hi, None, :], bins[None, start:stop, :]).sum(axis=2, dtype=np.int64))
-            for i, j in np.argwhere((NEED[0] + NEED[1]) * most >= NEED[0] * both).tolist():
-                a, b = find(lo + i), find(start + j)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
+    def compare(lo, hi, counts, start, stop, others):
+        """All of lo <= i < hi with all of start <= j < stop, a bounded piece at a time."""
+        step = max(1, (1 << 21) // (16 * counts.shape[1]))
+        for a in range(lo, hi, 16):
+            b = min(a + 16, hi)
+            first, last = max(start, a), int(np.searchsorted(sizes[:stop], sizes[b - 1] * NEED[1] // NEED[0], "right"))
+            for c in range(first, last, step):
+                d = min(c + step, last)
+                x, y = counts[a - lo:b - lo, None], others[None, c - start:d - start]
+                small = np.minimum(sizes[a:b, None], sizes[None, c:d])
+                most = np.where((x == FULL).any(2) | (y == FULL).any(2), small, np.minimum(x, y).sum(axis=2, dtype=np.int64))
+                for i, j in np.argwhere((NEED[0] + NEED[1]) * most >= NEED[0] * (sizes[a:b, None] + sizes[None, c:d])).tolist():
+                    p, q = find(a + i), find(c + j)
+                    if p != q:
+                        parent[max(p, q)] = min(p, q)
+
+    # Sizes ascend, and so do widths. Similar sets have the same width or neighbouring ones; the wider counts are then folded.
+    spans = [(int(np.searchsorted(widths, w)), int(np.searchsorted(widths, w, "right")), int(w)) for w in np.unique(widths)]
+    tables = [np.stack([bins[i] for i in order[lo:hi]]) for lo, hi, _ in spans]
+    for k, (lo, hi, width) in enumerate(spans):
+        compare(lo, hi, tables[k], lo, hi, tables[k])
+        if k + 1 < len(spans) and spans[k + 1][2] == 2 * width:
+            start, stop, _ = spans[k + 1]
+            wide = tables[k + 1].astype(np.uint16)
+            folded = np.where((tables[k + 1] == FULL).any(1)[:, None], FULL, np.minimum(wide[:, :width] + wide[:, width:], FULL)).astype(np.uint8)
+            compare(lo, hi, tables[k], start, stop, folded)
     out = [0] * len(sizes)
     for i in range(len(sizes)):
         out[order[i]] = int(order[find(i)])
@@ -270,7 +290,7 @@ def _possible_task(batches):
     """Rows (centre, slice, id, known, n, bins) sorted by centre and slice, to (g1, g2, id, known); a group's number follows from its members."""
     for ids, known, sizes, bins in _groups(batches, 2):
         ids, known = [x.as_py() for x in ids], [x.as_py() for x in known]
-        counts = np.frombuffer(b"".join(x.as_py() for x in bins), np.uint8).reshape(-1, BINS)
+        counts = [np.frombuffer(x.as_py(), np.uint8) for x in bins]
         members: dict[int, list[int]] = {}
         for i, g in enumerate(possible_groups(np.array([x.as_py() for x in sizes]), counts)):
             members.setdefault(g, []).append(i)
