@@ -31,6 +31,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"opti
           "tfoot": {"tbody", "thead", "tr", "td", "th", "caption", "colgroup"}, "body": {"head"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "optgroup": {"select"}}
 ENDS_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
+TABLE_PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th".split())  # ignored outside tables
 HEAD_ONLY = frozenset("base link meta noscript script style template title head".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
@@ -105,6 +106,8 @@ def parse(html: str) -> Node:
             if tag == "html":
                 root.attributes = attributes | root.attributes
             continue
+        if tag in TABLE_PARTS and not open_count.get("table"):
+            continue
         if stack[-1].tag == "head" and tag not in HEAD_ONLY:
             pop_to(len(stack) - 1)
         if tag in ENDS_P and open_count.get("p"):

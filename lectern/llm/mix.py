@@ -33,11 +33,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 def permuted(df: DataFrame, column: str, size: str, *key: str) -> DataFrame:
     """`column`, a number from 0 to size - 1, through a permutation of that range; one permutation for each value of key."""
     k = [F.col(c) for c in key]
-    for r in range(ROUNDS):
-        df = df.withColumn("_partner", F.expr(f"pmod(pmod(xxhash64({', '.join(['101', str(r), *key])}), {size}) - {column}, {size})"))
-        df = df.withColumn(column, F.when(F.xxhash64(F.lit(102), F.lit(r), *k, F.greatest(column, "_partner")).bitwiseAND(F.lit(1)) == 0,
-                                          F.col(column)).otherwise(F.col("_partner")))
-    return df.drop("_partner")
+
+    def swapped(x: Column, r: Column) -> Column:
+        partner = F.pmod(F.pmod(F.xxhash64(F.lit(101), r, *k), F.col(size)) - x, F.col(size))
+        return F.when(F.xxhash64(F.lit(102), r, *k, F.greatest(x, partner)).bitwiseAND(F.lit(1)) == 0, x).otherwise(partner)
+
+    return df.withColumn(column, F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.col(column).cast("bigint"), swapped))
 
 
 def sized(docs: DataFrame) -> DataFrame:

@@ -58,8 +58,8 @@ _LONE = rf"length(regexp_replace({{}}, '<(\\*\|)', '<\\\1', 'g'))"
 SQL = {
     "op2_embedding_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-u AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-      AND len(list_filter(e, x -> x <> 0)) > 0),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
       WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a),
