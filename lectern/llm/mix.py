@@ -133,7 +133,8 @@ def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
 def taken_words(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for each row of docs."""
     sizes, sources, rows, slots = _plan(docs)
-    met = pieces(rows).join(slots.select("source_no", "block"), ["source_no", "block"])
+    # Slots come from a handful of rows, so their number is not foreseen; the hint keeps them from being broadcast.
+    met = pieces(rows).join(slots.select("source_no", "block").hint("merge"), ["source_no", "block"])
     drawn = met.groupBy("source_no", "offset").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"))
     full = (rows.join(drawn, ["source_no", "offset"], "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
