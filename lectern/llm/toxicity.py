@@ -8,8 +8,9 @@ maximises the character trigram model's probability times the channel's.
 Language model: trigram counts of all texts in a fixed alphabet of 64 symbols, so 262,144 counters whatever the corpus; tasks add up
 their own first, and sums are made on the executors.
 
-Classifier: fitted on at most TRAIN_ROWS labelled documents (those of the smallest key; a parameter). Half of them give
-log-odds of words and word beginnings, the other half the logistic curve over a document's strongest and summed log-odds.
+Classifier: fitted on at most TRAIN_ROWS labelled documents (those of the smallest key; a parameter). Words and word beginnings weigh
+as much as their counts in toxic documents are beyond chance (root of the likelihood ratio). A logistic regression is fitted to the presence of
+the TOP weightiest ones and to the summed weight of all others, for which each training document is weighed without itself.
 
 Defined results: null and empty texts get the score of a text without evidence; rows are scored one by one, repeated ones alike; a
 null label teaches nothing, and of several labels of one document the highest counts; without labels of both kinds every score is 0.
@@ -27,9 +28,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lectern.llm.frames import pick
 from lectern.session import fresh_path
 
-TRAIN_ROWS = 40_000
-MIN_DOCS = 5
-MIN_ODDS = 2.0
+TRAIN_ROWS = 20_000
+MIN_DOCS = 3
+MIN_WEIGHT, TOP_WEIGHT, TOP = 3.0, 4.5, 256
 #: What a look-alike may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "gq", "@": "a", "$": "s",
               "!": "i", "|": "il", "+": "t", "€": "e", "*": "aeiou"}
@@ -173,20 +174,41 @@ def features(restored: str) -> set[str]:
     return {w + " " for w in words} | {w[:n] for w in words for n in (4, 5, 6) if len(w) >= n}
 
 
-def _evidence(found: set[str], odds: dict[str, float]) -> tuple[float, float]:
-    hits = [odds[f] for f in found if f in odds]
-    return (max(hits), math.log1p(sum(hits))) if hits else (0.0, 0.0)
+def weight(pos: int, neg: int, all_pos: int, all_neg: int) -> float:
+    """Root of the likelihood ratio of pos among pos + neg against the share of toxic documents; 0 if it isn't above that."""
+    n, share = pos + neg, all_pos / max(1, all_pos + all_neg)
+    if not n or not 0 < share < 1 or pos / n <= share:
+        return 0.0
+    return math.sqrt(2 * sum(k * math.log(k / (n * p)) for k, p in ((pos, share), (neg, 1 - share)) if k))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Weights (constant first) by Newton's method with a light ridge."""
+class Evidence:
+    """What a text's features say: the numbers of the top features in it, and the (log of the) summed weight of others."""
+
+    def __init__(self, counts: dict[str, tuple[int, int]], all_pos: int, all_neg: int):
+        weights = {f: weight(pos, neg, all_pos, all_neg) for f, (pos, neg) in counts.items()}
+        top = sorted((f for f, w in weights.items() if w >= TOP_WEIGHT), key=lambda f: (-weights[f], f))[:TOP]
+        self.top = {f: i for i, f in enumerate(top)}
+        self.others = {f: counts[f] for f, w in weights.items() if f not in self.top and w >= 0.8 * MIN_WEIGHT}
+        self.all_pos, self.all_neg = all_pos, all_neg
+
+    def __call__(self, found: set[str], own: int | None = None) -> tuple[list[int], float]:
+        """own: the label of a training document, which is then left out of the counts."""
+        pos, neg = (0, 0) if own is None else (own, 1 - own)
+        heavy = [w for f in found if f in self.others
+                 if (w := weight(self.others[f][0] - pos, self.others[f][1] - neg, self.all_pos - pos, self.all_neg - neg)) >= MIN_WEIGHT]
+        return [self.top[f] for f in found if f in self.top], math.log1p(sum(heavy))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Weights (constant first) by Newton's method with a ridge."""
     x = np.column_stack([np.ones(len(x)), x])
-    w, ridge = np.zeros(x.shape[1]), np.diag([1e-3] + [1e-2] * (x.shape[1] - 1))
+    w, ridge = np.zeros(x.shape[1]), np.diag([1e-3] + [0.3] * (x.shape[1] - 1))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
         w += step
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-6:
             break
     return w
 
@@ -195,8 +217,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, dict[str, float], list[float] | None]:
-    """(language model costs, log-odds, logistic weights or None). Labels of held-out documents are not read."""
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple:
+    """(language model costs, evidence, logistic weights: constant, others' weight, top features; or None). Labels of held-out
+    documents are not read."""
     spark = docs.sparkSession
     costs = costs_of(trigram_counts(docs))
     chosen = (pick(labels, "doc_id", "toxic").filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -209,12 +232,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([read(t or "") for t in part.column(2).to_pylist()])],
-                                                 names=["half", "toxic", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([read(t or "") for t in part.column(1).to_pylist()])],
+                                                 names=["toxic", "text"])
 
     (pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
-     .select(F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(2)).alias("half"), F.col("toxic").cast("int").alias("toxic"), "text")
-     .mapInArrow(restored, "half bigint, toxic int, text string").write.parquet(path))
+     .select((F.col("toxic") > 0).cast("int").alias("toxic"), "text").mapInArrow(restored, "toxic int, text string").write.parquet(path))
     train = spark.read.parquet(path)
 
     def counted(wanted):
@@ -228,39 +250,44 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         return task
 
     def counts(kind: int, wanted, least: int) -> dict[str, int]:
-        rows = train.filter((F.col("half") == 0) & (F.col("toxic") == kind)).select("text").mapInArrow(counted(wanted), "f string, n bigint")
+        rows = train.filter(F.col("toxic") == kind).select("text").mapInArrow(counted(wanted), "f string, n bigint")
         return dict(map(tuple, rows.groupBy("f").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).collect()))
 
-    totals = {(h, t): n for h, t, n in train.groupBy("half", "toxic").count().collect()}
-    pos, neg = totals.get((0, 1), 0), totals.get((0, 0), 0)
-    if not (pos and neg and totals.get((1, 1)) and totals.get((1, 0))):
-        return costs, {}, None
-    least = min(MIN_DOCS, max(2, pos // 20))
-    toxic = counts(1, None, least)
+    totals = dict(map(tuple, train.groupBy("toxic").count().collect()))
+    pos, neg = totals.get(1, 0), totals.get(0, 0)
+    if not (pos and neg):
+        return costs, None, None
+    toxic = counts(1, None, min(MIN_DOCS, max(1, pos // 10)))
     clean = counts(0, set(toxic), 1)
-    odds = {f: math.log((n + 0.5) / (pos + 1)) - math.log((clean.get(f, 0) + 0.5) / (neg + 1)) for f, n in toxic.items()}
-    odds = {f: w for f, w in odds.items() if w >= MIN_ODDS}
+    evidence = Evidence({f: (n, clean.get(f, 0)) for f, n in toxic.items()}, pos, neg)
 
     def measured(batches):
         for b in batches:
-            seen = [_evidence(features(t), odds) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s[0] for s in seen], pa.float64()), pa.array([s[1] for s in seen], pa.float64())],
-                                             names=["toxic", "most", "sum"])
+            kinds = b.column(0).to_pylist()
+            seen = [evidence(features(t), k) for t, k in zip(b.column(1).to_pylist(), kinds)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s[0] for s in seen], pa.list_(pa.int32())), pa.array([s[1] for s in seen], pa.float64())],
+                                             names=["toxic", "top", "others"])
 
-    points = np.array(train.filter("half = 1").select("toxic", "text").mapInArrow(measured, "toxic int, most double, sum double").collect(), float)
-    return costs, odds, _logistic(points[:, 1:], points[:, 0]).tolist()
+    points = train.mapInArrow(measured, "toxic int, top array<int>, others double").collect()
+    x = np.zeros((len(points), 1 + len(evidence.top)))
+    for i, p in enumerate(points):
+        x[i, 0] = p.others
+        x[i, [1 + t for t in p.top]] = 1
+    return costs, evidence, _logistic(x, np.array([p.toxic for p in points], float)).tolist()
 
 
 def scorer(model: tuple) -> Callable[[Column | str], Column]:
     """A column function: text to the probability that it is toxic."""
-    costs, odds, weights = model
+    costs, evidence, weights = model
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         if weights is None:
             return pd.Series(np.zeros(len(texts)))
-        read = Restorer(costs)
-        points = np.array([_evidence(features(read(t)), odds) if t else (0.0, 0.0) for t in texts]).reshape(-1, 2)
-        return pd.Series(1 / (1 + np.exp(-(weights[0] + points @ np.array(weights[1:])))))
+        read, sums = Restorer(costs), []
+        for text in texts:
+            top, others = evidence(features(read(text))) if text else ([], 0.0)
+            sums.append(weights[0] + weights[1] * others + sum(weights[2 + t] for t in sorted(top)))
+        return pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums, float), -700, 700))))
 
     return score
