@@ -130,6 +130,8 @@ def _search_task(index: Index):
         for key, table in rows_of(batches):
             role = np.asarray(table.column("role"))
             n = int((role == 0).sum())
+            if not n:  # a slice may be empty
+                continue
             ids = {c: np.asarray(table.column(c)) for c in ("h1", "h2", "times")}
             reps = table.column("rep").to_pylist()
             x = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(-1, index.dims)

@@ -12,7 +12,7 @@ from lectern.llm.queries import Q
 from lectern.llm.toxicity import Restorer, costs_of, fit, scorer, trigram_counts
 from llm_kit import documents, union_find, vocabulary
 
-SF = "/root/testdata/sf0.01"
+SF, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def _auc(points):
@@ -30,12 +30,12 @@ def _auc(points):
 
 
 def test_held_out_toxicity(spark):
-    rows = Q["op1_toxicity"](spark, SF).collect()
-    labels = {x.doc_id: x.toxic for x in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = Q["op1_toxicity"](spark, LARGER).collect()
+    labels = {x.doc_id: x.toxic for x in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
     assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 5 == 0) and 0 <= x.score <= 1 and x.predicted == (x.score >= 0.5) for x in rows)
     held = [(x.score, labels[x.doc_id]) for x in rows if x.held_out and x.doc_id in labels]
-    assert len(held) > 50 and _auc(held) > 0.9
-    assert sum(x.predicted for x in rows if labels.get(x.doc_id) == 0) <= 2
+    assert len(held) > 500 and _auc(held) > 0.97
+    assert sum(x.predicted for x in rows if labels.get(x.doc_id) == 0) <= 5
 
 
 def test_obfuscated_words_are_restored(spark):
