@@ -26,23 +26,6 @@ def count(md: Column) -> Column:
     return count_in(fn.segments(md), fn.fence_labels(fn.fences(md)))
 
 
-# Fixed values: (pattern, replacement) in order, for one line of prose without its indent.
-PROSE_STEPS = [
-    (r" ?[—–] ?", ", "),
-    (r" -- ", ", "),
-    (r"\A,\s*", ""),
-    (r" +,", ","),
-    (r",\s*,", ", "),
-    (r",\s*([.;:!?])", "$1"),
-]
-
-
-def count(md: Column) -> Column:
-    """Dashes a reader sees: outside code fences, `visual` fences included."""
-    segs, labels = fn.segments(md), fn.fence_labels(fn.fences(md))
-    return total(F.transform(fn.visible(segs, labels), lambda s: F.regexp_count(s, F.lit(DASH)).cast("bigint")))
-
-
 def _prose_line(line: Column) -> Column:
     indent = F.regexp_extract(line, r"\A( *)", 1)
     text = F.substring(line, F.length(indent) + 1, F.length(line))

@@ -73,9 +73,14 @@ def total(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
 
+# Texts inside a document may be of any length, and keys may repeat (the last one counts).
+JSON_OPTIONS = {"maxStringLen": "2147483647", "maxNestingDepth": "100000", "maxNumLen": "2147483647", "allowSingleQuotes": "false"}
+
+
 def is_json(c: Column) -> Column:
-    """Exactly one JSON value. The parser alone would accept text after a value, so the value must also be
+    """Exactly one JSON value. The parser alone would accept text after a value, so the value must be
     well-formed as the only element of an array and as the only member of an object."""
     def parses(*parts: Column) -> Column:
-        return F.try_parse_json(F.concat(*parts)).isNotNull()
-    return F.coalesce(parses(F.lit("["), c, F.lit("]")) & parses(F.lit('{"v":'), c, F.lit("}")), F.lit(False))
+        read = F.from_json(F.concat(*parts), "v STRING, broken STRING", {**JSON_OPTIONS, "columnNameOfCorruptRecord": "broken"})
+        return read.isNotNull() & read["broken"].isNull()
+    return F.coalesce(parses(F.lit('{"v":['), c, F.lit("]}")) & parses(F.lit('{"v":'), c, F.lit("}")), F.lit(False))

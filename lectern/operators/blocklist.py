@@ -1,55 +1,21 @@
 """Which texts contain which phrases, as substrings, without pairing every text with every phrase.
 
-A short list (its length is checked, not assumed) becomes a literal array tested inside the row. A longer
-one is joined: a phrase is anchored on its first eight characters, a text offers its distinct runs of
-that length, and the candidates are verified against the text. Both ways are exact. Phrases too short
-for the anchor form a list of their own.
+A phrase is anchored on its first eight characters (a shorter one on all of them). One pass over a text per anchor length gives
+its distinct runs of that length, which meet the anchors in an equi-join, and the candidates are verified against the text.
 """
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.functions.text import literal_array
-
 ANCHOR = 8
-SHORT_LIST = 200
-BROADCAST_BYTES = 32 << 20
 
 
-def hits(texts: DataFrame, keys: list[str], column: str, phrases: DataFrame,
-         short_list: int = SHORT_LIST) -> DataFrame:
+def hits(texts: DataFrame, keys: list[str], column: str, phrases: DataFrame) -> DataFrame:
     """(keys, phrase) where the lower-case text holds the phrase; keys are unique, phrases lower case."""
-    wanted = phrases.select("phrase").distinct()
+    anchored = (phrases.select("phrase").distinct().filter(F.length("phrase") > 0)
+                .withColumn("_anchor", F.substring("phrase", 1, ANCHOR)))
+    # At most ANCHOR rows, whatever the list: the lengths decide how often a text is read.
+    lengths = sorted(r[0] for r in anchored.select(F.length("_anchor")).distinct().collect()) or [ANCHOR]
     low = texts.select(*keys, F.lower(column).alias("_low"))
-    short = F.length("phrase") < ANCHOR
-    sizes = wanted.agg(F.count("*").alias("n"), F.count_if(short).alias("n_short"),
-                       F.sum(F.octet_length("phrase")).alias("bytes")).first()
-    if sizes.n <= short_list:
-        return _by_literal(low, keys, wanted, short_list)
-    small = (sizes.bytes or 0) <= BROADCAST_BYTES
-    found = _by_anchor(low, keys, wanted.filter(~short), [ANCHOR], small)
-    if sizes.n_short == 0:
-        return found
-    if sizes.n_short <= short_list:
-        return found.unionByName(_by_literal(low, keys, wanted.filter(short), short_list))
-    return found.unionByName(_by_anchor(low, keys, wanted.filter(short), list(range(1, ANCHOR)), small))
-
-
-def _by_literal(low: DataFrame, keys: list[str], phrases: DataFrame, most: int) -> DataFrame:
-    values = sorted(r.phrase for r in phrases.limit(most).collect())
-    found = F.filter(literal_array(values) if values else F.array().cast("array<string>"), lambda p: F.contains("_low", p))
-    return low.select(*keys, F.explode_outer(found).alias("phrase")).filter("phrase is not null")
-
-
-def _by_anchor(low: DataFrame, keys: list[str], phrases: DataFrame, lengths: list[int], small: bool) -> DataFrame:
-    anchored = phrases.withColumn("_anchor", F.substring("phrase", 1, ANCHOR))
-    size = F.length("_low")
-
-    def runs_of(n: int):
-        starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(F.col("_low"), i, F.lit(n)))
-
-    runs = [runs_of(n) for n in lengths]
-    offered = low.select(*keys, F.explode_outer(F.array_distinct(F.concat(*runs) if len(runs) > 1 else runs[0])).alias("_anchor"))
-    # Broadcast only after its size was measured; beyond that the join shuffles on the anchor.
-    side = F.broadcast(anchored) if small else anchored
-    candidates = offered.join(side, "_anchor").select(*keys, "phrase").distinct()
+    runs = [F.array_distinct(F.regexp_extract_all("_low", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))) for n in lengths]
+    offered = low.select(*keys, F.explode(F.concat(*runs)).alias("_anchor"))
+    candidates = offered.join(anchored, "_anchor").select(*keys, "phrase").distinct()
     return low.join(candidates, keys).filter(F.contains("_low", F.col("phrase"))).select(*keys, "phrase")

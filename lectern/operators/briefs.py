@@ -2,7 +2,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern import vocab
-from lectern.functions.text import is_blank, literal_array, present
+from lectern.functions.text import NOT_SPACE, is_blank, literal_array, present, strip
 from lectern.operators import blocklist
 from lectern.operators.flags import ADVISORY, HARD, emit, finding, flag, union
 from lectern.operators.graph import duplicates
@@ -144,8 +144,8 @@ def blocklist_hits(briefs: DataFrame, phrases: DataFrame) -> DataFrame:
 def smoke_eligibility(briefs: DataFrame, allowlist=tuple(vocab.SMOKE_ALLOWLIST)) -> DataFrame:
     """Every pipe segment of the verify command starts with an allowed word (or wc)."""
     command = F.col(B + "verify.command")
-    parts = F.filter(F.transform(F.split(command, r"\|", -1), lambda s: F.trim(s)), lambda s: s != "")
-    ok = F.forall(parts, lambda s: F.split_part(s, F.lit(" "), F.lit(1)).isin([*allowlist, "wc"]))
+    parts = F.filter(F.transform(F.split(command, r"\|", -1), lambda s: strip(s)), lambda s: s != "")
+    ok = F.forall(parts, lambda s: F.regexp_extract(s, rf"\A[{NOT_SPACE}]*", 0).isin([*allowlist, "wc"]))
     return (briefs.filter(F.coalesce(command, F.lit("")) != "")
             .select("course_id", "lesson_id", command.alias("command"), ok.alias("eligible")))
 

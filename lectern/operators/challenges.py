@@ -9,11 +9,11 @@ FILES = ["starter", "solution", "tests"]
 
 
 def _where():
-    return F.concat_ws("/", "lesson_id", F.coalesce(F.nullif(F.trim("challenge_id"), F.lit("")), F.col("pos").cast("string")))
+    return F.concat_ws("/", "lesson_id", F.coalesce(F.nullif(strip(F.col("challenge_id")), F.lit("")), F.col("pos").cast("string")))
 
 
 def _identity():
-    cid, build, lang = F.trim(F.coalesce("challenge_id", F.lit(""))), F.coalesce("buildType", F.lit("standard")), F.col("language")
+    cid, build, lang = strip(F.coalesce("challenge_id", F.lit(""))), F.coalesce("buildType", F.lit("standard")), F.col("language")
     return [
         finding(cid == "", "challenge_without_id", HARD, _where()),
         finding((cid != "") & ~cid.rlike(KEBAB), "bad_challenge_id", HARD, _where()),
@@ -30,7 +30,7 @@ def _gaps():
 
 
 def duplicate_challenges(challenges: DataFrame) -> DataFrame:
-    named = challenges.select("course_id", "lesson_id", F.trim(F.coalesce("challenge_id", F.lit(""))).alias("_id"))
+    named = challenges.select("course_id", "lesson_id", strip(F.coalesce("challenge_id", F.lit(""))).alias("_id"))
     twice = (named.filter((F.col("_id") != "") & F.col("_id").rlike(KEBAB)).groupBy("course_id", "lesson_id", "_id")
              .agg(F.count("*").alias("n")).filter("n > 1"))
     return flag(twice, "briefs", "duplicate_challenge", HARD, F.concat_ws("/", "lesson_id", "_id"))
@@ -46,7 +46,7 @@ def incomplete_challenge(challenges: DataFrame) -> DataFrame:
 
 def _references(challenges: DataFrame) -> DataFrame:
     refs = challenges.select("course_id", "lesson_id", "challenge_id", "pos", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("role"), F.trim(F.coalesce(F.col(f), F.lit(""))).alias("path")) for f in FILES])).alias("r"))
+        F.struct(F.lit(f).alias("role"), strip(F.coalesce(F.col(f), F.lit(""))).alias("path")) for f in FILES])).alias("r"))
     return refs.select("course_id", "lesson_id", "challenge_id", "pos", "r.role", "r.path").filter("path <> ''")
 
 

@@ -266,12 +266,13 @@ def triage(blocks: DataFrame, diagnostics: DataFrame) -> DataFrame:
             .select(*BLOCK, "kind", status.alias("status"), F.coalesce(*order, F.lit("compiles")).alias("detail")))
 
 
-def upgrade(verdicts: DataFrame, diagnostics2: DataFrame) -> DataFrame:
-    """Second pass with the draft's earlier blocks in front: clean lifts SKIP to PASS, nothing else moves."""
-    dirty = diagnostics2.select(*BLOCK).distinct().withColumn("dirty", F.lit(True))
-    earlier = (verdicts.groupBy("course_id", "stem", "lang").agg(F.min("n").alias("first_n")))
-    lifted = (F.col("status") == "SKIP") & F.col("dirty").isNull() & (F.col("n") > F.col("first_n"))
-    return (verdicts.join(dirty, BLOCK, "left").join(earlier, ["course_id", "stem", "lang"])
+def upgrade(verdicts: DataFrame, retried: DataFrame, diagnostics2: DataFrame) -> DataFrame:
+    """Second pass with the draft's earlier blocks in front: a block of retried (course_id, stem, lang, n) that gave no message
+    goes from SKIP to PASS. Nothing else moves; a block that was not compiled again, as in languages without replay, stays."""
+    dirty = diagnostics2.select(*BLOCK).distinct()
+    clean = retried.select(*BLOCK).distinct().join(dirty, BLOCK, "left_anti").withColumn("clean", F.lit(True))
+    lifted = (F.col("status") == "SKIP") & F.col("clean").isNotNull()
+    return (verdicts.join(clean, BLOCK, "left")
             .select(*BLOCK, "kind", F.when(lifted, "PASS").otherwise(F.col("status")).alias("status"),
                     F.when(lifted, "compiles in replay").otherwise(F.col("detail")).alias("detail")))
 

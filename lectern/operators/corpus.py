@@ -3,6 +3,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern import vocab
 from lectern.functions import fences as fn
+from lectern.functions.text import strip
 from lectern.operators import blocklist
 from lectern.operators.flags import HARD, flag
 
@@ -49,7 +50,7 @@ def pieces(drafts: DataFrame, form_column: str) -> DataFrame:
 
     def lines(parity):
         inner = F.transform("segs", lambda s, i: F.when(i % 2 == parity, F.size(F.filter(
-            F.split(s, "\n", -1), lambda x: F.trim(x) != ""))).otherwise(0).cast("bigint"))
+            F.split(s, "\n", -1), lambda x: strip(x) != ""))).otherwise(0).cast("bigint"))
         return fn.total(inner)
 
     words = fn.total(F.transform("segs", lambda s, i: F.when(i % 2 == 0, fn.word_count(s)).otherwise(0).cast("bigint")))

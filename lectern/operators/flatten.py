@@ -185,8 +185,11 @@ def text_fields(lessons: DataFrame, courses: DataFrame, drafts: DataFrame) -> Da
     quiz = F.flatten(F.transform(F.flatten(F.transform("brief.quiz_blocks", lambda b: b["questions"])), lambda q: F.concat(
         F.array(F.struct(F.lit("quiz_prompt").alias("field"), q["prompt"].alias("text")),
                 F.struct(F.lit("quiz_explanation").alias("field"), q["explanation"].alias("text"))),
-        F.transform(q["options"], lambda o: F.struct(F.lit("quiz_label").alias("field"), o["label"].alias("text"))))))
-    from_quiz = lessons.select("course_id", F.col("lesson_id").alias("subject"), F.explode(quiz).alias("t"))
+        F.transform(q["options"], lambda o: F.struct(F.lit("quiz_label").alias("field"), o["label"].alias("text"))),
+        F.transform(q["options"], lambda o: F.struct(F.lit("quiz_feedback").alias("field"), o["feedback"].alias("text"))))))
+    goals = F.transform("brief.objectives", lambda o: F.struct(F.lit("objective").alias("field"), o["statement"].alias("text")))
+    from_quiz = (lessons.select("course_id", F.col("lesson_id").alias("subject"), F.explode(quiz).alias("t"))
+                 .unionByName(lessons.select("course_id", F.col("lesson_id").alias("subject"), F.explode(goals).alias("t"))))
     from_courses = courses.select("course_id", F.col("course_id").alias("subject"), F.explode(F.array(
         F.struct(F.lit("course_title").alias("field"), F.col("title").alias("text")),
         F.struct(F.lit("course_promise").alias("field"), F.col("promise").alias("text")))).alias("t"))

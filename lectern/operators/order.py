@@ -1,30 +1,28 @@
 """Numbering rows inside a key when one key may hold a large share of all rows.
 
-A window over the key alone would sort a hot course in one task. Instead the sort column is cut into
-slices between the key's own minimum and maximum, rows are numbered inside (key, slice), and the
-sizes of the earlier slices of the key are added. The second window sees one row per slice.
+Rows are range-partitioned by key, order and ties, so a hot key, or a hot sort value, is spread over tasks. Rows are numbered inside
+their partition, and the counts of a key's earlier partitions are added: one row per key and partition it touches.
 """
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICES = 256
+from lectern.session import cut_lineage
 
 
-def number_within(df: DataFrame, keys: list[str], lead: list[str], sort_col: str, ties: list[str], out: str,
-                  slices: int = SLICES) -> DataFrame:
-    """0-based position of each row in its key, ordered by lead, then the whole number sort_col, then ties."""
-    group = [*keys, *lead]
-    span = df.groupBy(*group).agg(F.min(sort_col).alias("_lo"), F.max(sort_col).alias("_hi"))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / slices))
-    cut = (df.join(span, group).withColumn("_slice", F.floor((F.col(sort_col) - F.col("_lo")) / width))
-           .drop("_lo", "_hi"))
-    part = [*group, "_slice"]
-    before = Window.partitionBy(*keys).orderBy(*lead, "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offset = (cut.groupBy(*part).agg(F.count("*").alias("_n"))
-              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
-    inside = Window.partitionBy(*part).orderBy(sort_col, *ties)
-    return (cut.withColumn("_rank", F.row_number().over(inside)).join(offset, part)
-            .withColumn(out, (F.col("_before") + F.col("_rank") - 1).cast("bigint"))
-            .drop("_slice", "_before", "_rank"))
+def number_within(df: DataFrame, keys: list[str], lead: list[str], sort_col: str, ties: list[str], out: str) -> DataFrame:
+    """0-based position of each row in its key, ordered by lead, then sort_col, then ties; nulls come first, also as keys."""
+    order = [*keys, *lead, sort_col, *ties]
+    # The ranges are drawn from a sample, so they are fixed in the shared folder before two readers rely on them.
+    placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+                         .withColumn("_part", F.shiftright("_at", 33)))
+    parts = placed.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"), "_first",
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return (placed.join(starts, same).withColumn(out, (F.col("_before") + F.col("_at") - F.col("_first")).cast("bigint"))
+            .drop("_at", "_part", "_p", "_first", "_before", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def position_key(mod_idx="mod_idx", order="ord", array_pos="array_pos") -> Column:

@@ -6,7 +6,7 @@ and what leaves the row is one slot or one gap, summed per course before any shu
 """
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.functions.text import is_blank, present
+from lectern.functions.text import is_blank, present, strip
 from lectern.operators.flags import ADVISORY, HARD, emit, finding, flag, union
 
 MIN_QUESTIONS = 6
@@ -31,7 +31,7 @@ def _where() -> Column:
 
 
 def _id(c) -> Column:
-    return F.trim(F.coalesce(c, F.lit("")))
+    return strip(F.coalesce(c, F.lit("")))
 
 
 def _no_id():

@@ -18,12 +18,17 @@ CHECKS: dict[str, Check] = {
     "artifacts": lambda t, phrases: course.artifact_flags(t),
     "length": lambda t, phrases: course.length_mismatch(t["courses"]),
     "routing": lambda t, phrases: course.routing_budget(t["courses"]),
+    # Files stand beside the manifests: tables["challenge_files"] and tables["test_files"] come from `read_challenge_files`.
+    "challenges": lambda t, phrases: union(challenges.missing_files(t["challenges"], t["challenge_files"]),
+                                           challenges.bad_tests(t["challenges"], t["test_files"])),
 }
 
 
 def run_checks(tables: dict, phrases: DataFrame, names=None) -> DataFrame:
-    """All checks over all courses, or those named. Adding a check is adding a function to CHECKS."""
-    return union(*[CHECKS[n](tables, phrases) for n in (names or CHECKS)])
+    """All checks over all courses, or those named; "challenges" runs where its files are among the tables. Adding a check is
+    adding a function to CHECKS."""
+    names = names or [n for n in CHECKS if n != "challenges" or "challenge_files" in tables]
+    return union(*[CHECKS[n](tables, phrases) for n in names])
 
 
 def draft_flags(texts: DataFrame, phrases: DataFrame, stems: DataFrame | None = None) -> DataFrame:

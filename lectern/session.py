@@ -21,10 +21,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is named (tests)."""
+    """The shared folder the cluster names. A folder of our own serves only where all runs on this machine (tests)."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    return named or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
+    named = named or sc.getCheckpointDir()
+    if named is None and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return named or tempfile.mkdtemp(prefix="spark-")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -90,7 +90,9 @@ def parse_diagnostics(lines: DataFrame, dialect: str) -> DataFrame:
         line = strip(F.col("value"))
         return (lines.withColumn("msg", F.regexp_extract(line, TS_LINE, 4)).filter("msg <> ''")
                 .select(*rest, F.regexp_extract(line, TS_LINE, 1).cast("int").alias("block"), "msg"))
-    parsed = (lines.select(*rest, F.from_json("value", CARGO_MESSAGE).alias("j"))
+    # The array is a barrier: without it every use of a field would parse the line again.
+    parsed = (lines.filter(F.contains("value", F.lit("compiler-message")))
+              .select(*rest, F.explode(F.array(F.from_json("value", CARGO_MESSAGE))).alias("j"))
               .filter("j.reason = 'compiler-message' and j.message.level = 'error'"))
     text = strip(F.coalesce("j.message.message", F.lit("")))
     code = F.col("j.message.code.code")
@@ -126,4 +128,4 @@ def parse_catalog(texts: DataFrame) -> DataFrame:
     return rows.select(
         "form", number.alias("n"), F.regexp_replace(pick(2, 0), r"\*\*", "").alias("title"), pick(3, 1).alias("author"),
         F.nullif(F.regexp_extract(pick(4, 2), r"(https?://\S+)", 1), F.lit("")).alias("url"),
-        F.regexp_extract(pick(5, 3), r"(\d{4})", 1).try_cast("bigint").alias("year"), F.trim(note).alias("note"))
+        F.regexp_extract(pick(5, 3), r"(\d{4})", 1).try_cast("bigint").alias("year"), strip(note).alias("note"))

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern import schemas
-from lectern.functions.text import is_json
+from lectern.functions.text import JSON_OPTIONS, is_json
 
 
 def read_manifests(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
@@ -18,7 +18,7 @@ def parse_manifests(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """texts(path, value) -> manifests(course_id, path, m), rejects(path, reason)."""
     valid = is_json(F.col("value"))
     is_object = F.col("value").rlike(r"\A\s*\{")
-    good = texts.filter(valid & is_object).withColumn("m", F.from_json("value", schemas.MANIFEST))
+    good = texts.filter(valid & is_object).withColumn("m", F.from_json("value", schemas.MANIFEST, JSON_OPTIONS))
     manifests = good.select(F.coalesce("m.course.id", "path").alias("course_id"), "path", "m")
     rejects = texts.filter(~(valid & is_object)).select(
         "path", F.when(~valid, "not JSON").otherwise("not an object").alias("reason"))

@@ -4,7 +4,16 @@ from pyspark.sql import DataFrame, functions as F
 from lectern.operators.gate import gate
 
 
-def write_course_tree(manifests: DataFrame, lessons: DataFrame, path: str) -> None:
+BUCKETS = 64  # folders by default; a large catalog asks for more
+
+
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """Rows of a folder meet before they are written, so a task opens a few files only. Adaptive execution splits what is large."""
+    placed = df.withColumn("bucket", F.pmod(F.xxhash64("course_id"), F.lit(buckets)))
+    return placed.hint("rebalance", *(["kind"] if "kind" in df.columns else []), "bucket")
+
+
+def write_course_tree(manifests: DataFrame, lessons: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """course, module, brief, research, cadence and assessment documents, as JSON by kind.
 
     Paths are partitioned by kind and by a hash bucket of the course, so a catalog of any size makes a
@@ -21,21 +30,14 @@ def write_course_tree(manifests: DataFrame, lessons: DataFrame, path: str) -> No
             .unionByName(docs(modules, "module", F.col("mod.id"), F.col("mod")))
             .unionByName(docs(lessons, "brief", F.col("lesson_id"), F.col("brief")))
             .unionByName(docs(lessons.filter("research is not null"), "research", F.col("lesson_id"), F.col("research"))))
-    _bucketed(tree).write.mode("overwrite").partitionBy("kind", "bucket").json(path)
-
-
-BUCKETS = 64
-
-
-def _bucketed(df: DataFrame) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64("course_id"), F.lit(BUCKETS)))
+    _bucketed(tree, buckets).write.mode("overwrite").partitionBy("kind", "bucket").json(path)
 
 
-def write_publish_tree(courses: DataFrame, blocks: DataFrame, prose: DataFrame, path: str) -> None:
+def write_publish_tree(courses: DataFrame, blocks: DataFrame, prose: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """Course documents, lesson documents (one row per block, `pos` is its place), prose texts."""
-    _bucketed(courses).write.mode("overwrite").partitionBy("bucket").json(f"{path}/courses")
-    _bucketed(blocks).write.mode("overwrite").partitionBy("bucket").json(f"{path}/lessons")
-    _bucketed(prose).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/prose")
+    _bucketed(courses, buckets).write.mode("overwrite").partitionBy("bucket").json(f"{path}/courses")
+    _bucketed(blocks, buckets).write.mode("overwrite").partitionBy("bucket").json(f"{path}/lessons")
+    _bucketed(prose, buckets).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/prose")
 
 
 def write_flags(flags: DataFrame, courses: DataFrame, path: str) -> DataFrame:
@@ -47,9 +49,9 @@ def write_flags(flags: DataFrame, courses: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/verdict")
 
 
-def write_quiz_split(quiz: DataFrame, path: str) -> None:
+def write_quiz_split(quiz: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """quiz(course_id, stem, lesson_id, quiz_blocks): one row per lesson file, lessons without a quiz left out."""
-    (_bucketed(quiz.filter(F.coalesce(F.size("quiz_blocks"), F.lit(0)) > 0))
+    (_bucketed(quiz.filter(F.coalesce(F.size("quiz_blocks"), F.lit(0)) > 0), buckets)
      .write.mode("overwrite").partitionBy("bucket").json(path))
 
 
@@ -57,12 +59,10 @@ def read_quiz_split(spark, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"course_id STRING, stem STRING, lesson_id STRING, quiz_blocks {schema}").json(path)
 
 
-def write_facts(facts: DataFrame, path: str) -> None:
-    """facts(course_id, stem, pos, fact): one line per fact, `pos` first so that a reader can restore order."""
-    lines = facts.select("course_id", F.concat_ws("\t", "course_id", "stem", F.format_string("%06d", "pos"), F.regexp_replace("fact", r"[\n\t]", " ")).alias("value"))
-    _bucketed(lines).drop("course_id").write.mode("overwrite").partitionBy("bucket").text(path)
+def write_facts(facts: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """facts(course_id, stem, pos, fact): one line per fact, as JSON, so that a fact may hold any character; `pos` restores the order."""
+    _bucketed(facts.select("course_id", "stem", "pos", "fact"), buckets).write.mode("overwrite").partitionBy("bucket").json(path)
 
 
 def read_facts(spark, path: str) -> DataFrame:
-    cut = F.split("value", "\t", 4)
-    return spark.read.text(path).select(cut[0].alias("course_id"), cut[1].alias("stem"), cut[2].cast("int").alias("pos"), cut[3].alias("fact"))
+    return spark.read.schema("course_id STRING, stem STRING, pos INT, fact STRING").json(path).drop("bucket")

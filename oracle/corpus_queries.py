@@ -173,8 +173,9 @@ ALL = {**md.CTES, **dd.CTES, "pos": md.CTES["pos"]}
 ALL["tf"] = f"SELECT * FROM (" + union_sql(
     *[f"SELECT course_id, '{f}' AS field, id AS subject, {c} AS text FROM les" for f, c in _brief],
     "SELECT course_id, 'quiz_prompt', lesson_id, prompt FROM qs", "SELECT course_id, 'quiz_explanation', lesson_id, explanation FROM qs",
-    "SELECT course_id, 'quiz_label', lesson_id, unnest(labels) FROM qs",
-    "SELECT course_id, 'course_title', course_id, 'Doc ' || d FROM src", "SELECT course_id, 'course_promise', course_id, substr(lines[1], 1, 50) FROM src",
+    "SELECT course_id, 'quiz_label', lesson_id, unnest(labels) FROM qs", "SELECT course_id, 'quiz_feedback', lesson_id, unnest(feeds) FROM qs",
+    "SELECT course_id, 'objective', id, unnest([objective_1, objective_2]) FROM les WHERE objectives = 'two'",
+    "SELECT course_id, 'course_title', course_id, 'Doc ' || d FROM src", "SELECT course_id, 'course_promise', course_id, lines[1] FROM src",
     "SELECT course_id, 'draft', stem, md FROM dr") + f") WHERE NOT {mq.blank('text')}"
 add("d20_dash_coverage", lambda s, sf: drafts.dash_coverage(fields(s, sf)),
     """SELECT field, count(*) AS texts, CAST(sum(CASE WHEN field = 'draft' THEN 0 ELSE len(regexp_extract_all(text, '—|–| -- ')) END) AS BIGINT) + CASE WHEN field = 'draft' THEN (SELECT CAST(sum(dashes) AS BIGINT) FROM dc) ELSE 0 END AS dashes

@@ -1,7 +1,8 @@
 """Markdown drafts derived from `documents`: one draft per document.
 
-LINE is scalar SQL over (d = doc_id, i = line number from 1, x = line) that both engines read alike. Every
-sixth line opens a fence, the next holds its body, the one after closes it; remainders of d and of the
+LINE is scalar SQL over (d = doc_id, i = line number from 1, x = line, y = line before it, z = last line number) that both engines
+read alike. All lines stay, as prose. A fence opens after every sixth one, its body takes the place where the next line would stand, and
+that line follows once the fence is closed; remainders of d and of the
 fence number g plant bad titles, comments, glued and missing closers, pins, imports and broken code.
 """
 import re
@@ -48,18 +49,19 @@ TOML = (f"'[dependencies]' || {NL} || 'clap = \"4.' || (d % 5) || '\"' || {NL} |
 JSON = case("CAST(floor(d / 8) AS INT) % 3", [lit('{"a": [1, 2]}'), lit("{a: 1}"), lit("")])
 BODY = case("(g + d) % 8", [BASH, VISUAL, PYTHON, RUST, TS, TOML, JSON, VISUAL])
 MARK = f"CASE WHEN (g + d) % 8 IN (3, 4) AND g % 2 = 0 THEN '<!-- verify: expect-fail reason ' || g || ' -->' || {NL} ELSE '' END"
-PROSE = (f"CASE WHEN (d + i) % 13 = 0 THEN '<!-- only a comment -->' WHEN (d + i) % 13 = 5 THEN x || ' <!-- open' || {NL} || 'still -->' "
+PROSE = (f"CASE WHEN (d + i) % 13 = 0 THEN '<!-- only a comment -->' || {NL} || x WHEN (d + i) % 13 = 5 THEN x || ' <!-- open' || {NL} || 'still -->' "
          f"WHEN (d + i) % 13 = 7 THEN x || ' <!-- c --> tail' ELSE CASE WHEN d % 5 = 1 AND i % 6 = 1 THEN '## ' ELSE '' END || replace(x, ', ', ' — ') END "
          f"|| CASE WHEN (d + i) % 3 = 0 THEN {NL} ELSE '' END")
-LINE = (f"CASE WHEN i % 6 = 4 THEN {MARK} || '```' || {LABEL} WHEN i % 6 = 5 THEN {BODY} "
-        f"WHEN i % 6 = 0 THEN CASE WHEN d % 17 = 0 AND (g - 1 + d) % 8 IN (1, 7) THEN '``` and so' WHEN d % 19 = 3 AND i = 6 THEN x ELSE '```' END ELSE {PROSE} END")
+LINE = (f"CASE WHEN i % 6 = 4 THEN x || {NL} || {MARK} || '```' || {LABEL} WHEN i % 6 = 5 THEN {BODY} || CASE WHEN i = z THEN {NL} || x ELSE '' END "
+        f"WHEN i % 6 = 0 THEN CASE WHEN d % 17 = 0 AND (g - 1 + d) % 8 IN (1, 7) THEN '``` and so' || {NL} WHEN d % 19 = 3 AND i = 6 THEN '' ELSE '```' || {NL} END "
+        f"|| y || {NL} || x ELSE {PROSE} END")
 LINE = LINE.replace("(g - 1 + d)", "(CAST(floor((i - 1) / 6) AS INT) + d)")  # a closer belongs to the fence before it
 
 
 def qualified(sql: str, prefix: str = "p.") -> str:
-    """Prefix the names x, i and g outside string literals."""
+    """Prefix the names x, y, z, i and g outside string literals."""
     parts = sql.split("'")
-    parts[::2] = [re.sub(r"\b([xig])\b", rf"{prefix}\1", part) for part in parts[::2]]
+    parts[::2] = [re.sub(r"\b([xyzig])\b", rf"{prefix}\1", part) for part in parts[::2]]
     return "'".join(parts)
 
 
@@ -71,7 +73,7 @@ def draft_rows(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text"), "doc_id").select(
         F.col("doc_id").alias("d"), F.col("source").alias("course_id"), F.split("text", "\n", -1).alias("lines"))
     line = qualified(LINE)
-    pieces = F.expr("transform(lines, (x, j) -> named_struct('x', x, 'i', j + 1, 'g', CAST(floor((j + 1) / 6) AS INT)))")
+    pieces = F.expr("transform(lines, (x, j) -> named_struct('x', x, 'y', coalesce(get(lines, j - 1), ''), 'z', size(lines), 'i', j + 1, 'g', CAST(floor((j + 1) / 6) AS INT)))")
     body = F.expr(f"array_join(transform(pieces, p -> {line}), chr(10))")
     named = docs.select("d", "course_id", pieces.alias("pieces"))
     return named.select("d", "course_id", F.expr(STEM).alias("stem"), F.concat(F.expr(TITLE), body).alias("md"))
@@ -86,7 +88,8 @@ def drafts(spark: SparkSession, sf: str) -> DataFrame:
 
 def _duck_line() -> str:
     parts = LINE.split("'")
-    parts[::2] = [re.sub(r"\bg\b", "CAST(floor(i / 6) AS INT)", part) for part in parts[::2]]
+    for name, value in (("g", "CAST(floor(i / 6) AS INT)"), ("y", "lines[i - 1]"), ("z", "len(lines)")):
+        parts[::2] = [re.sub(rf"\b{name}\b", value, part) for part in parts[::2]]
     return "'".join(parts)
 
 
@@ -110,8 +113,8 @@ def _roles(opens: str) -> str:
 VISUAL_KINDS = "('flowchart', 'diagram', 'chart', 'table', 'comparison', 'annotated-code', 'timeline')"
 
 CTES = {
-    "dr": f"""SELECT d, course_id, {STEM} AS stem, {TITLE} || array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: {_duck_line()}), chr(10)) AS md
-              FROM (SELECT doc_id AS d, source AS course_id, text FROM documents)""",
+    "dr": f"""SELECT d, course_id, {STEM} AS stem, {TITLE} || array_to_string(list_transform(lines, lambda x, i: {_duck_line()}), chr(10)) AS md
+              FROM (SELECT doc_id AS d, source AS course_id, string_split(text, chr(10)) AS lines FROM documents)""",
     "dl": f"""SELECT *, {strip_sql('line')} AS s FROM (SELECT d, course_id, stem, unnest(string_split(md, chr(10))) AS line,
               generate_subscripts(string_split(md, chr(10)), 1) AS p FROM dr)""",
     "df": """SELECT *, starts_with(s, '```') AS is_f, sum(CASE WHEN starts_with(s, '```') THEN 1 ELSE 0 END) OVER (PARTITION BY d ORDER BY p) AS fn FROM dl""",

@@ -99,15 +99,16 @@ add("d11_late_first_do", lambda t, s, sf: drafts.late_first_do(drafts.draft_metr
       FROM m WHERE substr(course_id, -1) IN ('0', '1', '2', '3', '4') AND course_id IN (SELECT course_id FROM dr WHERE d % 5 <> 0)) WHERE fd IS NULL OR fd > budget"""))
 
 
-def phrases(spark: SparkSession, sf: str, skip: int = 2) -> DataFrame:
-    """Word pairs from benchmark items: grows with the table."""
-    words = F.split("text", " ", -1)
-    return (spark.read.parquet(f"{sf}/benchmark.parquet").select(F.lower(F.array_join(F.slice(words, skip, 2), " ")).alias("phrase"))
-            .filter(F.length("phrase") >= 4).distinct())
+def phrases(spark: SparkSession, sf: str, n: int = 3) -> DataFrame:
+    """All runs of n words of benchmark items: grows with the table."""
+    words = F.split(F.regexp_replace("text", "\n", " "), " ", -1)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - n + 1)), lambda i: F.lower(F.array_join(F.slice(words, i, F.lit(n)), " ")))
+    return (spark.read.parquet(f"{sf}/benchmark.parquet").select(F.explode(runs).alias("phrase")).filter(F.length("phrase") >= 4).distinct())
 
 
-def phrases_sql(skip: int = 2) -> str:
-    return f"(SELECT DISTINCT phrase FROM (SELECT lower(array_to_string(list_slice(string_split(text, ' '), {skip}, {skip + 1}), ' ')) AS phrase FROM benchmark) WHERE length(phrase) >= 4)"
+def phrases_sql(n: int = 3) -> str:
+    return f"""(SELECT DISTINCT phrase FROM (SELECT lower(array_to_string(list_slice(w, i, i + {n - 1}), ' ')) AS phrase FROM
+      (SELECT w, unnest(range(1, greatest(1, len(w) - {n - 1}) + 1)) AS i FROM (SELECT string_split(replace(text, chr(10), ' '), ' ') AS w FROM benchmark))) WHERE length(phrase) >= 4)"""
 
 
 add("d12_draft_blocklist", lambda t, s, sf: corpus.draft_blocklist(t, phrases(s, sf)),
@@ -361,6 +362,8 @@ MSGS = ["none", "error TS2304: Cannot find name x", "error[E0433]: failed to res
         "error[E0308]: mismatched types — expected `__BlockErr`", "error TS7006: implicit any", "error[E0599]: no method", "none", "none"]
 MSG = "CASE (d * 3 + n * 5 + seq * 7) % 10 " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(MSGS)) + " END"
 REPLAY = "(d + n) % 3 = 0"
+# Only blocks of this language are compiled again, behind the earlier ones of their draft.
+RETRIED = "lang = 'typescript' AND n > 1"
 
 
 def compiled(t: DataFrame) -> DataFrame:
@@ -378,7 +381,7 @@ def verdicts(t: DataFrame) -> DataFrame:
 
 
 def upgraded(t: DataFrame) -> DataFrame:
-    return code.upgrade(verdicts(t), compiled(t).filter(REPLAY))
+    return code.upgrade(verdicts(t), compiled(t).filter(RETRIED), compiled(t).filter(REPLAY))
 
 
 def expected(t: DataFrame) -> DataFrame:
@@ -393,7 +396,7 @@ dd.CTES["vd"] = """SELECT kd.d, kd.course_id, kd.stem, kd.lang, kd.n, kd.kind, C
     coalesce(msg, 'compiles') AS detail FROM kd LEFT JOIN (SELECT d, lang, n, min(cls) AS best, arg_min(msg, (cls, seq)) AS msg FROM cls GROUP BY ALL) v ON v.d = kd.d AND v.lang = kd.lang AND v.n = kd.n
   WHERE kind IS NOT NULL"""
 dd.CTES["vu"] = f"""SELECT d, course_id, stem, lang, n, kind, CASE WHEN up THEN 'PASS' ELSE status END AS status, CASE WHEN up THEN 'compiles in replay' ELSE detail END AS detail
-  FROM (SELECT *, status = 'SKIP' AND n > 1 AND NOT ({REPLAY}) AS up FROM vd)"""
+  FROM (SELECT *, status = 'SKIP' AND {RETRIED} AND NOT ({REPLAY}) AS up FROM vd)"""
 add("x11_triage", lambda t, s, sf: longs(verdicts(t), "n"), "SELECT course_id, stem, lang, n, kind, status, detail FROM vd")
 add("x12_replay_upgrade", lambda t, s, sf: longs(upgraded(t), "n"), "SELECT course_id, stem, lang, n, kind, status, detail FROM vu")
 dd.CTES["mk"] = f"""SELECT *, lag(is_mark) OVER w AS marked, lag(reason) OVER w AS why FROM (SELECT d, course_id, stem, p, regexp_matches(s, '<!-- verify: expect-fail') AS is_mark,

@@ -19,9 +19,9 @@ LESSON = {
     "module": f"CASE WHEN {H} % 23 = 3 THEN 'mod-x' ELSE 'mod-' || CAST(floor(i / 4) AS INT) END",
     "ord": f"CASE WHEN {H} % 17 = 2 THEN NULL ELSE (i * 7) % 5 END",
     "kind": f"CASE {H} % 11 WHEN 0 THEN 'video' WHEN 1 THEN 'concept' WHEN 2 THEN NULL ELSE 'build' END",
-    "title": "substr(x, 1, 40)",
+    "title": "x",
     "hook": f"CASE WHEN {H} % 13 = 4 THEN '' ELSE split_part(x, ' ', 2) END",
-    "concept_spec": "substr(x, 20, 60)",
+    "concept_spec": "x",
     "artifact_spec": f"CASE WHEN {H} % 7 = 1 THEN NULL ELSE 'build ' || split_part(x, ' ', 1) END",
     "exercise_spec": "'do it'",
     "the_tradeoff": f"CASE WHEN {H} % 19 = 6 THEN '   ' ELSE 'cost' END",
@@ -35,7 +35,7 @@ LESSON = {
                   f"WHEN 3 THEN '@listen to it' WHEN 4 THEN '@write code' WHEN 5 THEN NULL ELSE 'tests pass' END",
     "difficulty": f"CASE {H} % 12 WHEN 0 THEN 0 WHEN 1 THEN 4 WHEN 2 THEN NULL ELSE 1 + i % 3 END",
     "objectives": f"CASE {H} % 14 WHEN 0 THEN 'null' WHEN 1 THEN 'empty' ELSE 'two' END",
-    "objective_1": "substr(x, 1, 30) || CASE WHEN i % 4 = 0 THEN ' Understand it' ELSE ' do it' END",
+    "objective_1": "x || CASE WHEN i % 4 = 0 THEN ' Understand it' ELSE ' do it' END",
     "objective_2": "'write ' || split_part(x, ' ', 1)",
     "pre_1": f"CASE WHEN {H} % 21 = 8 THEN NULL WHEN {H} % 16 = 3 THEN 'ghost' WHEN {H} % 16 = 4 THEN 'l' || (i + 1) "
              f"WHEN i = 0 THEN 's1' ELSE 'l' || (i - 1) END",
@@ -54,7 +54,7 @@ LESSON = {
     "quiz_key": f"CASE WHEN {H} % 3 = 0 THEN NULL ELSE 'Key ' || i END",
     "q1_id": f"CASE WHEN {H} % 20 = 1 THEN '' ELSE 'q1' END",
     "q2_id": f"CASE WHEN {H} % 6 = 3 THEN 'q1' ELSE 'q2' END",
-    "q1_prompt": "substr(x, 1, 20)",
+    "q1_prompt": "x",
     "q2_multi": f"({H} % 4 = 0)",
     "q2_oid": f"CASE {H} % 10 WHEN 0 THEN 'a' WHEN 5 THEN '' ELSE 'b' END",
     "q1_slot": f"{H} % 3",
@@ -62,9 +62,9 @@ LESSON = {
     "q2_b": f"({H} % 7 < 3)",
     "q1_feedback": f"CASE WHEN {H} % 5 = 1 THEN '' ELSE 'no' END",
     "explanation": f"CASE WHEN {H} % 9 = 4 THEN NULL ELSE 'because' END",
-    "label_1": "split_part(x, ' ', 1)",
-    "label_2": "split_part(x, ' ', 2)",
-    "label_3": "split_part(x, ' ', 3)",
+    "label_1": "CASE WHEN i % 5 = 0 THEN x ELSE split_part(x, ' ', 1) END",
+    "label_2": "CASE WHEN i % 5 = 1 THEN x ELSE split_part(x, ' ', 2) END",
+    "label_3": "CASE WHEN i % 5 = 2 THEN x ELSE split_part(x, ' ', 3) END",
     "challenges": f"CASE WHEN {H} % 18 = 16 THEN 'wrong' WHEN {H} % 6 = 4 THEN 'two' ELSE 'null' END",
     "c1_id": f"CASE {H} % 5 WHEN 0 THEN '' WHEN 1 THEN 'Bad Id' ELSE 'ch-1' END",
     "c2_id": f"CASE {H} % 4 WHEN 0 THEN 'ch-1' ELSE 'ch-2' END",
@@ -155,7 +155,7 @@ def manifest_texts(spark: SparkSession, sf: str) -> DataFrame:
         F.expr(f"transform(lines, (x, i) -> array({EDGE_SRC}, {EDGE_DST}))").alias("edges"))
     head = F.expr(f"""to_json(named_struct(
       'schema_version', 1,
-      'course', named_struct('id', {COURSE_ID}, 'title', 'Doc ' || d, 'one_line_promise', substr(lines[0], 1, 50),
+      'course', named_struct('id', {COURSE_ID}, 'title', 'Doc ' || d, 'one_line_promise', lines[0],
         'terminal_outcomes', transform(array('to-0', 'to-1', 'to-2'), o -> named_struct('id', o, 'bloom', 'create')),
         'length_target', named_struct('hours', CASE WHEN d % 6 = 0 THEN NULL ELSE {n} * 0.25D END,
                                       'lessons', CASE d % 5 WHEN 0 THEN {n} + 1 WHEN 1 THEN NULL ELSE {n} END),
@@ -176,9 +176,12 @@ def manifest_texts(spark: SparkSession, sf: str) -> DataFrame:
                         (r'"quiz_wrong":"x"', r'"quiz_blocks":{"a":1}'), (r'"challenges_wrong":"x"', r'"coding_challenges":"none"')]:
         lessons = F.regexp_replace(lessons, pattern, to)
     value = F.concat(F.expr("substr(h, 1, length(h) - 1)"), F.lit(',"lessons":['), lessons, F.lit("]}"))
-    # Every 50th document stands for a damaged file.
-    whole = parts.withColumn("h", head).select("d", F.concat(F.lit("catalog/"), F.col("d"), F.lit("/manifest.json")).alias("path"), value.alias("v"))
-    return whole.select("path", F.when(F.col("d") % 50 == 49, F.substring("v", 1, 100)).otherwise(F.col("v")).alias("value"))
+    whole = parts.withColumn("h", head).select("d", value.alias("v"))
+    # Every 50th document has a damaged copy beside it.
+    copies = F.when(F.col("d") % 50 == 49, F.array(F.lit("catalog/"), F.lit("damaged/"))).otherwise(F.array(F.lit("catalog/")))
+    return (whole.withColumn("folder", F.explode(copies))
+            .select(F.concat("folder", "d", F.lit("/manifest.json")).alias("path"),
+                    F.when(F.col("folder") == "damaged/", F.substring("v", 1, 100)).otherwise(F.col("v")).alias("value")))
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -201,7 +204,7 @@ def _select(exprs: dict[str, str]) -> str:
 
 CTES = {
     "src": f"""SELECT d, {COURSE_ID} AS course_id, lines, len(lines) AS n
-               FROM (SELECT doc_id AS d, string_split(text, chr(10)) AS lines FROM documents) WHERE d % 50 <> 49""",
+               FROM (SELECT doc_id AS d, string_split(text, chr(10)) AS lines FROM documents)""",
     "ln": "SELECT d, course_id, unnest(lines) AS x, generate_subscripts(lines, 1) - 1 AS i FROM src",
     "les": f"SELECT d, course_id, i, x, {_select({k: v for k, v in LESSON.items()})} FROM ln",
     "mseq": "SELECT d, course_id, unnest(range(CAST(floor((n - 1) / 4) AS BIGINT) + 1)) AS m FROM src",

@@ -8,6 +8,7 @@ from lectern.operators.flags import union
 from lectern.operators.gate import check_verdicts, gate, severity_matrix, suite_report
 from lectern.plans.checks import run_checks
 from lectern.sources.manifests import parse_manifests
+from oracle.draft_queries import phrases, phrases_sql
 from oracle import manifest_data as md
 from oracle.shared import flag_sql, staged, union_sql, with_ctes
 
@@ -44,7 +45,7 @@ def stem_sql(c: str = None) -> str:
 # ---- sources and flattening ----------------------------------------------------------------------
 
 add("s01_rejected_manifests", lambda t, s, sf: parse_manifests(md.texts(s, sf))[1],
-    "SELECT 'catalog/' || doc_id || '/manifest.json' AS path, 'not JSON' AS reason FROM documents WHERE doc_id % 50 = 49")
+    "SELECT 'damaged/' || doc_id || '/manifest.json' AS path, 'not JSON' AS reason FROM documents WHERE doc_id % 50 = 49")
 add("p01_modules", lambda t, s, sf: t["modules"].select("course_id", "module_id", F.col("pos").cast("bigint").alias("pos"),
                                                          F.col("mod_idx").cast("bigint").alias("mod_idx"), "title", "rung", "band"),
     "SELECT course_id, id AS module_id, m AS pos, mod_idx, coalesce(title, id) AS title, rung, band FROM mods")
@@ -130,19 +131,13 @@ rule("b08_no_verify", lambda t: briefs.no_verify(t["briefs"]),
 
 
 def doc_phrases(spark, sf):
-    """Three-word heads of benchmark items and of document lines: a list that grows with the data."""
-    def heads(df, col):
-        return df.select(F.lower(F.array_join(F.slice(F.split(col, " ", -1), 2, 2), " ")).alias("phrase"))
-    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id % 20 = 0")
-    return staged(spark, sf, "phrases", lambda: heads(spark.read.parquet(f"{sf}/benchmark.parquet"), "text").unionByName(heads(docs, "text"))
-                  .filter(F.length("phrase") >= 4).distinct())
+    """All word triples of benchmark items: a list that grows with the table."""
+    return staged(spark, sf, "phrases", lambda: phrases(spark, sf, 3))
 
 
-PHRASES = """SELECT DISTINCT phrase FROM (SELECT lower(array_to_string(list_slice(string_split(text, ' '), 2, 3), ' ')) AS phrase FROM benchmark
-  UNION ALL SELECT lower(array_to_string(list_slice(string_split(text, ' '), 2, 3), ' ')) FROM documents WHERE doc_id % 20 = 0) WHERE length(phrase) >= 4"""
 add("b09_blocklist_hits", lambda t, s, sf: briefs.blocklist_hits(t["briefs"], doc_phrases(s, sf)),
     flag_sql("briefs", "blocklist", H, "id", "phrase", f"""FROM (SELECT course_id, id, phrase FROM (SELECT course_id, id,
-      lower(concat_ws(chr(10), title, hook, concept_spec, artifact_spec)) AS low FROM les), ({PHRASES}) WHERE contains(low, phrase))"""))
+      lower(concat_ws(chr(10), title, hook, concept_spec, artifact_spec)) AS low FROM les), {phrases_sql(3)} WHERE contains(low, phrase))"""))
 rule("b10_bad_difficulty", lambda t: briefs.bad_difficulty(t["briefs"]),
      flag_sql("briefs", "bad_difficulty", A, "id", "difficulty", "FROM les WHERE difficulty NOT BETWEEN 1 AND 3"))
 rule("b11_weak_verbs", lambda t: briefs.weak_verbs(t["briefs"]),
@@ -231,7 +226,7 @@ rule("c02_incomplete_challenge", lambda t: challenges.incomplete_challenge(t["ch
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("d"), "text").filter("d % 50 <> 49")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("d"), "text")
     return docs.select("d", F.expr(md.COURSE_ID).alias("course_id"), F.posexplode(F.split("text", "\n", -1)).alias("i", "x"))
 
 
@@ -252,10 +247,15 @@ def test_files(spark, sf):
     return rest.select("course_id", F.expr("'challenges/l' || i || '/tests.json'").alias("path"), value.alias("value"))
 
 
-add("c03_missing_files", lambda t, s, sf: challenges.missing_files(t["challenges"], challenge_files(s, sf)),
+def file_rule(name, spark_fn, sql):
+    RULES[name] = (sql,)
+    add(name, spark_fn, sql)
+
+
+file_rule("c03_missing_files", lambda t, s, sf: challenges.missing_files(t["challenges"], challenge_files(s, sf)),
     flag_sql("challenges", "missing_file", H, CW, "role || ':' || path", f"""FROM (SELECT course_id, lesson_id, cid, pos, unnest(['starter','solution','tests']) AS role,
       unnest([starter, solution, tests]) AS path FROM ch) WHERE coalesce(path, '') <> '' AND (course_id, path) NOT IN ({union_sql(*[f.replace("{0}", "ln") for f in FILES])})"""))
-add("c04_bad_tests", lambda t, s, sf: challenges.bad_tests(t["challenges"], test_files(s, sf)),
+file_rule("c04_bad_tests", lambda t, s, sf: challenges.bad_tests(t["challenges"], test_files(s, sf)),
     flag_sql("challenges", "bad_tests", H, CW, "found", f"""FROM (SELECT ch.*, CASE (ch.d + ch.i) % 5 WHEN 1 THEN 'tests_not_array' WHEN 2 THEN 'tests_not_json'
       WHEN 3 THEN 'test_incomplete' WHEN 4 THEN 'tests_not_array' END AS found FROM ch WHERE pos = 0) WHERE found IS NOT NULL"""))
 add("x16_smoke_eligibility", lambda t, s, sf: briefs.smoke_eligibility(t["briefs"]),
@@ -266,7 +266,7 @@ add("x16_smoke_eligibility", lambda t, s, sf: briefs.smoke_eligibility(t["briefs
 add("u01_publish_meta", lambda t, s, sf: publish.publish_meta(t["courses"]).withColumn("duration", F.round(100 * F.col("duration")).cast("bigint")),
     f"""SELECT course_id, {slug_sql('course_id')} AS slug, regexp_replace(substr('course-' || {slug_sql('course_id')}, 1, 32), '-+$', '') AS publish_id,
       coalesce(CASE WHEN d % 4 = 0 THEN 'p' || d END, substr(CASE WHEN d % 41 = 0 THEN 'C' ELSE 'c' || substr(CAST(d AS VARCHAR), 1, 1) END, 1, 6)) AS prefix,
-      'Doc ' || d AS title, substr(lines[1], 1, 50) AS description, 'beginner' AS difficulty,
+      'Doc ' || d AS title, lines[1] AS description, 'beginner' AS difficulty,
       CAST(CASE WHEN d % 6 = 0 THEN n * 100 WHEN n >= 4 THEN ceil(n * 0.25) * 100 ELSE n * 25 END AS BIGINT) AS duration,
       CASE WHEN d % 2 = 0 THEN 10 + d % 120 ELSE 20 END AS xp_per_lesson, least(5000, 20 * n) AS xp_reward,
       '{vocab.DEFAULT_CREATOR}' AS creator, n AS n_lessons FROM src""")
@@ -327,13 +327,17 @@ def default_phrases(spark, sf):
     return spark.createDataFrame([(p,) for p in vocab.DEFAULT_BLOCKLIST], "phrase string")
 
 
+def with_files(t, spark, sf):
+    return {**t, "challenge_files": challenge_files(spark, sf), "test_files": test_files(spark, sf)}
+
+
 def all_flags(t, spark, sf):
     """The full run, staged once: reports read flags, not rules."""
-    return staged(spark, sf, "flags", lambda: run_checks(t, default_phrases(spark, sf)))
+    return staged(spark, sf, "flags", lambda: run_checks(with_files(t, spark, sf), default_phrases(spark, sf)))
 
 
 FLAGS = union_sql(*[part for parts in RULES.values() for part in parts])
-add("m01_run_checks", lambda t, s, sf: run_checks(t, default_phrases(s, sf)), FLAGS)
+add("m01_run_checks", lambda t, s, sf: run_checks(with_files(t, s, sf), default_phrases(s, sf)), FLAGS)
 add("m02_gate", lambda t, s, sf: gate(all_flags(t, s, sf), t["courses"]),
     f"""SELECT src.course_id, coalesce(hard, 0) AS hard, coalesce(advisory, 0) AS advisory, CASE WHEN hard > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM src
       LEFT JOIN (SELECT course_id, count(*) FILTER (severity = 'HARD') AS hard, count(*) FILTER (severity = 'advisory') AS advisory FROM ({FLAGS}) GROUP BY course_id) f
