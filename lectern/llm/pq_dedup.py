@@ -5,10 +5,12 @@
    vector is indexed: list, residual code, and the length of what the code leaves out.
 3. A query visits every list that can hold a vector within the angle of THRESHOLD: one that lies past the plane between its
    own list and another by no more than that angle allows. These probes are sufficient, not a number chosen beforehand.
-4. In a list, distances from the query to the codes come from tables (query residual to codewords). A code farther away than the
-   threshold plus its own left-out length cannot be a match; all others get the exact cosine in double precision.
-No step loses a pair, so recall is 1. A list with many members is cut into slices, each visited by the list's queries; a task
-returns counts and links that span its components, never pairs.
+4. In a list, distances from the query to the codes come from tables: the squared distance is that to the list's centre, less
+   twice the query's products with the codewords (one table per query), plus a number that the code and its list fix. A code farther
+   away than the threshold plus its own left-out length cannot be a match; all others get the exact cosine in double precision.
+No step loses a pair, so recall is 1. The lists of a label are dealt to cells of about SLICE vectors, so that a query travels once to a
+cell, not once to a list; a cell that one long list fills is cut into slices, each visited by its queries. A task holds one slice and
+streams the queries past it; it returns counts and links that span components, never pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and vectors with a null
 label, link with nothing; vectors of different length never link; repeated rows are vectors of their own that share an id; a null
@@ -72,10 +74,17 @@ class Index:
         angle = np.maximum(0, np.arccos(cosine) - np.arccos(THRESHOLD))
         return (gap * np.cos(angle) >= (square[None] - square[own][:, None]) / 2 - 1e-9) | (np.arange(len(self.centres)) == own[:, None])
 
-    def tables(self, x: np.ndarray, place: int) -> list[np.ndarray]:
-        """Squared distances from each query's residual to the codewords, by subspace."""
-        rest = x - self.centres[place]
-        return [((rest[:, a:b, None] - book.T[None]) ** 2).sum(1) for (a, b), book in zip(zip(self.cuts, self.cuts[1:]), self.books)]
+    def tables(self, x: np.ndarray) -> list[np.ndarray]:
+        """Products of each query with the codewords, by subspace."""
+        return [x[:, a:b] @ book.T for (a, b), book in zip(zip(self.cuts, self.cuts[1:]), self.books)]
+
+    def fixed_part(self, places: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """|code|^2 + 2 centre . code of each member."""
+        total = np.zeros(len(codes))
+        for m, ((a, b), book) in enumerate(zip(zip(self.cuts, self.cuts[1:]), self.books)):
+            word = book[codes[:, m]]
+            total += (word * word).sum(1) + 2 * (self.centres[places, a:b] * word).sum(1)
+        return total
 
 
 def _vectors(column: pa.Array, dims: int) -> np.ndarray:
@@ -87,9 +96,6 @@ def _vectors(column: pa.Array, dims: int) -> np.ndarray:
     return out / np.sqrt((out * out).sum(1, keepdims=True))
 
 
-_ROW = "label int, size int, place int, slice bigint, role int, h1 bigint, h2 bigint, rep bigint, times bigint, vector array<double>, code binary, left double"
-
-
 def _index_task(index: Index):
     """(label, size, h1, h2, rep, times, embedding) to (label, size, place, probes, h1, ..., vector, code, left)."""
     def task(batches):
@@ -107,67 +113,89 @@ def _index_task(index: Index):
     return task
 
 
+class _Slice:
+    """The members of one slice, by list, and what has been linked among them."""
+
+    def __init__(self, index: Index, table: pa.Table):
+        self.index = index
+        self.h1, self.h2, self.times = (np.asarray(table.column(c)) for c in ("h1", "h2", "times"))
+        self.reps, self.left = table.column("rep").to_pylist(), np.asarray(table.column("left"))
+        self.x = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(-1, index.dims)
+        self.codes = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(self.h1), -1)
+        places = np.asarray(table.column("place"))
+        self.fixed = index.fixed_part(places, self.codes)
+        self.by_place = {int(p): np.flatnonzero(places == p) for p in np.unique(places)}
+        self.parent = list(range(len(self.h1)))
+
+    def find(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
+        return i
+
+    def ask(self, part: pa.RecordBatch) -> list[tuple]:
+        """Queries met with the members of the lists they visit: rows (h1, h2, links, a, b)."""
+        names = part.schema.names
+        column = lambda c: part.column(names.index(c))
+        x = np.asarray(column("vector").flatten()).reshape(-1, self.index.dims)
+        h1, h2, reps = np.asarray(column("h1")), np.asarray(column("h2")), column("rep").to_pylist()
+        probes = column("probes")
+        query, place = np.repeat(np.arange(len(x)), np.asarray(probes.value_lengths())), np.asarray(probes.flatten())
+        tables, links, met = self.index.tables(x), np.zeros(len(x), np.int64), [-1] * len(x)
+        limit, out = np.sqrt(2 - 2 * THRESHOLD), []
+        order = np.argsort(place, kind="stable")
+        query, place = query[order], place[order]
+        for p, rows in self.by_place.items():
+            own = query[np.searchsorted(place, p):np.searchsorted(place, p, "right")]
+            away = x[own] - self.index.centres[p]
+            base = (away * away).sum(1)
+            step = max(1, (1 << 20) // len(rows))
+            for lo in range(0, len(own), step):
+                q = own[lo:lo + step]
+                far = base[lo:lo + step, None] + self.fixed[rows][None] - 2 * sum(t[q][:, self.codes[rows, m]] for m, t in enumerate(tables))
+                i, j = np.nonzero(np.sqrt(np.maximum(far, 0)) <= limit + self.left[rows][None] + 1e-7)
+                i, j = q[i], rows[j]
+                sure = np.concatenate([np.einsum("ij,ij->i", x[i[a:a + 65536]], self.x[j[a:a + 65536]]) for a in range(0, max(1, len(i)), 65536)]) >= THRESHOLD
+                other = (h1[i] != self.h1[j]) | (h2[i] != self.h2[j])
+                i, j = i[sure & other], j[sure & other]
+                np.add.at(links, i, self.times[j])
+                for a, b in zip(i.tolist(), j.tolist()):
+                    if met[a] < 0:
+                        met[a] = b
+                        out.append((None, None, None, reps[a], self.reps[b]))
+                    c, d = self.find(met[a]), self.find(b)
+                    if c != d:
+                        self.parent[max(c, d)] = min(c, d)
+                        out.append((None, None, None, self.reps[c], self.reps[d]))
+        return out + [(int(h1[i]), int(h2[i]), int(links[i]), None, None) for i in np.flatnonzero(links)]
+
+
 def _search_task(index: Index):
-    """Rows of _ROW sorted by list, slice and role (members first) to (h1, h2, links, a, b): link counts, and spanning links in a, b."""
-    def rows_of(batches):
-        key, rows = None, []
-        for b in batches:
-            names = ["label", "size", "place", "slice"]
-            keys = list(zip(*(b.column(n).to_pylist() for n in names)))
-            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if hi > lo:
-                    if keys[lo] != key and rows:
-                        yield key, pa.Table.from_batches(rows)
-                        rows = []
-                    key = keys[lo]
-                    rows.append(b.slice(lo, hi - lo))
-        if rows:
-            yield key, pa.Table.from_batches(rows)
+    """Rows sorted by label, size, cell, slice and role (members first) to (h1, h2, links, a, b): link counts, and spanning links."""
+    def runs(batch):
+        keys = list(zip(*(batch.column(i).to_pylist() for i in range(5))))
+        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi > lo:
+                yield keys[lo][:4], keys[lo][4], batch.slice(lo, hi - lo)
 
     def task(batches):
-        limit = np.sqrt(2 - 2 * THRESHOLD)
-        for key, table in rows_of(batches):
-            role = np.asarray(table.column("role"))
-            n = int((role == 0).sum())
-            if not n:  # a slice may be empty
-                continue
-            ids = {c: np.asarray(table.column(c)) for c in ("h1", "h2", "times")}
-            reps = table.column("rep").to_pylist()
-            x = np.asarray(table.column("vector").combine_chunks().flatten()).reshape(-1, index.dims)
-            codes = np.frombuffer(b"".join(table.column("code").slice(0, n).to_pylist()), np.uint8).reshape(n, -1)
-            left = np.asarray(table.column("left").slice(0, n))
-            parent = list(range(len(role)))
-
-            def find(i):
-                while parent[i] != i:
-                    parent[i] = parent[parent[i]]
-                    i = parent[i]
-                return i
-
-            members = {(a, b): i for i, (a, b) in enumerate(zip(ids["h1"][:n].tolist(), ids["h2"][:n].tolist()))}
-            links = np.zeros(len(role), np.int64)
-            for lo in range(n, len(role), 64):
-                hi = min(lo + 64, len(role))
-                far = sum(t[:, codes[:, m]] for m, t in enumerate(index.tables(x[lo:hi], key[2])))
-                near = np.argwhere(np.sqrt(far) <= limit + left[None] + 1e-9)
-                for start in range(0, len(near), 1 << 16):
-                    i, j = near[start:start + (1 << 16)].T
-                    sure = np.einsum("ij,ij->i", x[lo + i], x[j]) >= THRESHOLD
-                    i, j = i[sure] + lo, j[sure]
-                    other = (ids["h1"][i] != ids["h1"][j]) | (ids["h2"][i] != ids["h2"][j])
-                    i, j = i[other], j[other]
-                    np.add.at(links, i, ids["times"][j])
-                    for p, q in zip(i.tolist(), j.tolist()):
-                        p = members.get((int(ids["h1"][p]), int(ids["h2"][p])), p)
-                        p, q = find(p), find(q)
-                        if p != q:
-                            parent[max(p, q)] = min(p, q)
-            ask = np.flatnonzero(links)
-            span = [(reps[i], reps[find(i)]) for i in range(len(role)) if find(i) != i]
-            both = [(int(ids["h1"][i]), int(ids["h2"][i]), int(links[i]), None, None) for i in ask] + [(None, None, None, a, b) for a, b in span]
-            if both:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*both)], names=["h1", "h2", "links", "a", "b"])
+        key, rows, held = None, [], None
+        for batch in batches:
+            for k, role, part in runs(batch):
+                if k != key:
+                    key, rows, held = k, [], None
+                if role == 0:
+                    rows.append(part)
+                    continue
+                if held is None and rows:
+                    held, rows = _Slice(index, pa.Table.from_batches(rows)), []
+                if held is None:  # a slice may be empty
+                    continue
+                for lo in range(0, part.num_rows, 1024):
+                    found = held.ask(part.slice(lo, 1024))
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["h1", "h2", "links", "a", "b"])
     return task
 
 
@@ -193,12 +221,16 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
      .mapInArrow(_index_task(index), "label int, size int, place int, probes array<int>, h1 bigint, h2 bigint, rep bigint, times bigint, "
                                      "vector array<double>, code binary, left double").write.parquet(f"{path}/index"))
     indexed = spark.read.parquet(f"{path}/index")
-    spot = ["label", "size", "place"]
-    slices = indexed.groupBy(*spot).agg(F.ceil(F.count("*") / SLICE).alias("slices"))
-    held = indexed.join(slices, spot).select(*spot, F.pmod("h1", F.col("slices")).alias("slice"), F.lit(0).alias("role"), "h1", "h2", "rep", "times", "vector", "code", "left")
-    asked = (indexed.drop("place").withColumn("place", F.explode("probes")).join(slices, spot)
-             .select(*spot, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("role"), "h1", "h2", "rep", "times",
-                     "vector", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("left")))
+    spot = ["label", "size", "cell"]
+    cells = indexed.groupBy("label", "size").agg(F.least(F.lit(len(index.centres)), F.ceil(F.count("*") / SLICE)).cast("int").alias("cells"))
+    dealt = indexed.join(cells, ["label", "size"]).withColumn("cell", F.col("place") % F.col("cells"))
+    slices = dealt.groupBy(*spot).agg(F.ceil(F.count("*") / SLICE).alias("slices"))
+    names = [*spot, "slice", "role", "h1", "h2", "rep", "times", "place", "probes", "vector", "code", "left"]
+    held = (dealt.join(slices, spot).withColumn("slice", F.pmod("h1", F.col("slices"))).withColumn("role", F.lit(0))
+            .withColumn("probes", F.lit(None).cast("array<int>")).select(*names))
+    asked = (dealt.withColumn("cell", F.explode(F.array_distinct(F.transform("probes", lambda p: p % F.col("cells"))))).join(slices, spot)
+             .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).withColumn("role", F.lit(1))
+             .withColumn("code", F.lit(None).cast("binary")).withColumn("left", F.lit(None).cast("double")).select(*names))
     (held.union(asked).repartition(*spot, "slice").sortWithinPartitions(*spot, "slice", "role", "h1", "h2")
      .mapInArrow(_search_task(index), "h1 bigint, h2 bigint, links bigint, a bigint, b bigint").write.parquet(f"{path}/found"))
     found = spark.read.parquet(f"{path}/found")
