@@ -46,6 +46,9 @@ AMBIGUOUS = re.compile(
     rf"|(?<![\w{_MARKS}])(?=[\w{_MARKS}]*{_LETTER})(?=[\w]*[{_MARKS}])[\w{_MARKS}]+"  # letters and look-alikes in one token
     rf"|(?<![\w{_MARKS}])(?={_LETTER}*({_LETTER})\1\1){_LETTER}+")  # a letter three times
 WORDS = re.compile(rf"{_LETTER}+")
+# Every ambiguous span lies in one line and holds a mark, three equal characters, or single characters side by side.
+_HAS_MARK, _HAS_TRIPLE = re.compile(f"[{_MARKS}]"), re.compile(r"(\S)\1\1")
+_HAS_SINGLES = re.compile(r"(?:\A|[\W_])\S[ ._\-]\S[ ._\-]\S(?![^\W_])")
 
 
 def _alphabet() -> np.ndarray:
@@ -62,9 +65,13 @@ def _alphabet() -> np.ndarray:
     return table
 
 
+ALPHABET = _alphabet()
+SYMBOL = {chr(code): int(symbol) for code, symbol in enumerate(ALPHABET)}
+
+
 def symbols(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(codes < 256, _alphabet()[np.minimum(codes, 255)], np.uint8(OTHER))
+    return np.where(codes < 256, ALPHABET[np.minimum(codes, 255)], np.uint8(OTHER))
 
 
 def trigram_counts(docs: DataFrame) -> np.ndarray:
@@ -118,7 +125,11 @@ class Restorer:
         self.costs, self.known = costs, {}
 
     def __call__(self, text: str) -> str:
-        return AMBIGUOUS.sub(self._read, text.lower())
+        text = text.lower()
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        triples = bool(((codes[:-2] == codes[1:-1]) & (codes[1:-1] == codes[2:])).any())
+        return "\n".join(AMBIGUOUS.sub(self._read, line) if _HAS_MARK.search(line) or _HAS_SINGLES.search(line) or triples and _HAS_TRIPLE.search(line) else line
+                         for line in text.split("\n"))
 
     def _read(self, match: re.Match) -> str:
         span = match.group()
@@ -149,7 +160,7 @@ class Restorer:
         costs = self.costs
         paths = {(BREAK, BREAK): (0.0, None)}
         for unit in self.lattice(span):
-            readings = [(r, k, symbols(r).tolist()) for r, k in unit]
+            readings = [(r, k, [SYMBOL.get(c, OTHER) for c in r]) for r, k in unit]
             after: dict = {}
             for (a, b), (cost, path) in paths.items():
                 for reading, k, codes in readings:
@@ -190,11 +201,13 @@ class Evidence:
         top = sorted((f for f, w in weights.items() if w >= TOP_WEIGHT), key=lambda f: (-weights[f], f))[:TOP]
         self.top = {f: i for i, f in enumerate(top)}
         self.others = {f: counts[f] for f, w in weights.items() if f not in self.top and w >= 0.8 * MIN_WEIGHT}
+        self.known = frozenset(self.top) | frozenset(self.others)
         self.all_pos, self.all_neg = all_pos, all_neg
 
     def __call__(self, found: set[str], own: int | None = None) -> tuple[list[int], float]:
         """own: the label of a training document, which is then left out of the counts."""
         pos, neg = (0, 0) if own is None else (own, 1 - own)
+        found = self.known & found
         heavy = [w for f in found if f in self.others
                  if (w := weight(self.others[f][0] - pos, self.others[f][1] - neg, self.all_pos - pos, self.all_neg - neg)) >= MIN_WEIGHT]
         return [self.top[f] for f in found if f in self.top], math.log1p(sum(heavy))
