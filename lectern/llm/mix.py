@@ -84,9 +84,10 @@ def with_blocks(sources: DataFrame) -> DataFrame:
 
 def slot_table(sources: DataFrame) -> DataFrame:
     """Every output slot: (shard, place, source_no, pass, block)."""
-    chunk = 1 << 14
+    # A number of partitions is given because few rows become many here, which adaptive execution does not foresee.
+    chunk, tasks = 1 << 14, int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     starts = (sources.filter("slots > 0").select("source_no", "blocks", "slots", "slots_before", "all_slots",
-                                                 F.explode(F.expr(f"sequence(0L, slots - 1, {chunk}L)")).alias("_from")).repartition("source_no", "_from"))
+                                                 F.explode(F.expr(f"sequence(0L, slots - 1, {chunk}L)")).alias("_from")).repartition(tasks, "source_no", "_from"))
     draws = starts.select("source_no", "blocks", "slots_before", "all_slots",
                           F.explode(F.expr(f"sequence(_from, least(_from + {chunk}, slots) - 1)")).alias("k"))
     draws = draws.select("source_no", "blocks", "all_slots", F.expr("slots_before + k").alias("position"), F.expr("k div blocks").alias("pass"),
@@ -146,7 +147,9 @@ def taken_words(docs: DataFrame) -> DataFrame:
 def _drawn_text(text: Column, spans: Column) -> Column:
     """The words of the spans (lo, hi), each with the blanks after it."""
     words = F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    return F.array_join(F.flatten(F.transform(spans, lambda s: F.slice(words, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))), "")
+    # One-element array: the text is split once, not once for each span.
+    return F.get(F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
+        spans, lambda s: F.slice(w, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))), "")), F.lit(0))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
