@@ -160,7 +160,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     _, _, rows, slots = _plan(docs)
     last = slots.groupBy("source_no", "block").agg(F.count("*").alias("uses"))
     whole = F.floor(F.col("slots") / F.col("blocks"))
-    met = (pieces(rows).join(last, ["source_no", "block"], "left").withColumn("whole", whole)
+    met = (pieces(rows).join(last.hint("merge"), ["source_no", "block"], "left").withColumn("whole", whole)
            .groupBy("doc_id", "text_hash", "source_no", "offset", "size", "whole")
            .agg(F.array_sort(F.collect_list(F.when(F.coalesce("uses", F.lit(0)) > F.col("whole"), F.struct("lo", "hi")))).alias("spans")))
     plan = (met.withColumn("extra", F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["hi"] - x["lo"]))
