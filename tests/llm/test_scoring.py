@@ -1,5 +1,6 @@
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -142,3 +143,23 @@ def test_every_license_line_is_found(spark):
     rows = Q["op5_license_scan"](spark, SF).collect()
     got = {(x.doc_id, x.license) for x in rows if x.status == "exact"}
     assert want and want <= got and all(x.status != "exact" or x.license for x in rows)
+
+
+def test_wrapped_and_adjacent_licenses(spark):
+    docs, want = [], []
+    for name, text in TEMPLATES.items():
+        for mark in ("", "# ", " * ", "REM "):
+            wrapped = "\n".join(mark + line for line in textwrap.wrap(text, 60, break_on_hyphens=False))
+            want.append((len(docs), 0, name))
+            docs.append((len(docs), f"Some prose.\n\n{wrapped}\n\n" + "prose and code " * 300))
+    n = len(docs)
+    mit = textwrap.fill(TEMPLATES["MIT"].replace("merge, ", ""), 80).replace("The above", "\n\nThe above")
+    docs += [(n, "Released under the MIT License.\nLicensed under CC BY-NC 4.0."), (n + 1, "Released under the MIT License. Licensed under the Apache License, Version 2.0."),
+             (n + 2, "\n".join(textwrap.wrap(TEMPLATES["GPL-3.0"], 80) + textwrap.wrap(TEMPLATES["LGPL-2.1"], 80))),
+             (n + 3, f"Copyright (c) 2020 X\n\n{mit}\n\nprose"), (n + 4, "\n".join(["Released under the MIT style License."] * 200)),
+             (n + 5, "Released\nin 2004, this tool came under many eyes, and the\nMIT saw it.\nNo license is given.")]
+    want += [(n, 0, "MIT-notice"), (n, 0, "CC-BY-NC-4.0"), (n + 1, 0, "MIT-notice"), (n + 1, 0, "Apache-2.0-notice"), (n + 2, 0, "GPL-3.0"), (n + 2, 1, "LGPL-2.1"),
+             (n + 3, 0, None), (n + 3, 1, "MIT"), *[(n + 4, 0, "MIT-notice")] * 200, (n + 5, 0, None)]
+    rows = scanned(documents(spark, docs)).collect()
+    assert sorted([(x.doc_id, x.block_no, x.license) for x in rows], key=str) == sorted(want, key=str)
+    assert {x.status for x in rows if x.doc_id < n and x.doc_id % 4 < 3} == {"exact"} and {x.status for x in rows if x.doc_id == n + 4} == {"close"}
