@@ -2,12 +2,13 @@
 sources are mixed to their weights, and the mix is written as token shards in training order.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the columns of documents.
+Stages decide about rows: each row has a staged number of its own, so null and repeated doc_ids are judged like all others.
 """
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm.bits import key_bits, maybe_in
 from lectern.llm.decontaminate import contamination
-from lectern.llm.frames import packed, unpacked
+from lectern.llm.frames import field, keyed, packed, unpacked
 from lectern.llm.jaccard_trie import similar_components
 from lectern.llm.mix import mixed_documents
 from lectern.llm.toxicity import fit, scorer
@@ -15,11 +16,11 @@ from lectern.llm.training_order import read_sequences, write_shards
 from lectern.session import fresh_path
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in gone (doc_id). Only rows that a filter of fixed size can't clear are shuffled."""
-    rows = maybe_in(packed(docs, "doc_id").withColumn("doc_id", F.col("doc_id").cast("bigint")), "doc_id", key_bits(gone, "doc_id"))
+def without(rows: DataFrame, gone: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs for rows (_row, _key) without those in gone (_key). Only rows that a filter of fixed size can't clear are shuffled."""
+    rows = maybe_in(rows, "_key", key_bits(gone, "_key"))
     clear = rows.filter(~F.col("_maybe")).select("_row")
-    unsure = rows.filter("_maybe").join(gone.select("doc_id").distinct(), "doc_id", "leftanti").select("_row")
+    unsure = rows.filter("_maybe").join(gone.select("_key"), "_key", "leftanti").select("_row")
     return unpacked(clear.union(unsure), docs)
 
 
@@ -31,18 +32,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest doc_id stays."""
-    path = fresh_path(spark, "similar")
-    similar_components(docs).filter("doc_id <> component_id").select("doc_id").distinct().write.parquet(path)
-    return without(docs, spark.read.parquet(path))
+    """Of each group of similar rows those with its smallest doc_id stay, or one row if it has no doc_id."""
+    path, rows = fresh_path(spark, "similar"), keyed(docs)
+    (similar_components(rows.select(F.col("_key").alias("doc_id"), field(docs, "text"))).filter("doc_id <> component_id")
+     .select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).write.parquet(f"{path}/members"))
+    others = spark.read.parquet(f"{path}/members")
+    members = others.union(others.select(F.col("_group").alias("_key"), "_group").distinct()).join(rows.select("_key", field(docs, "doc_id")), "_key")
+    stays = members.groupBy("_group").agg(F.min("doc_id").alias("_first"), F.min("_key").alias("_one"))
+    goes = F.when(F.col("_first").isNull(), F.col("_key") != F.col("_one")).otherwise(~F.col("doc_id").eqNullSafe(F.col("_first")))
+    members.join(stays, "_group").filter(goes).select("_key").write.parquet(f"{path}/gone")
+    return without(rows, spark.read.parquet(f"{path}/gone"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule (hit words are 5 % of all, or more) holds for are rejected."""
-    path = fresh_path(spark, "contaminated")
-    (contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated AND doc_id IS NOT NULL")
-     .select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().write.parquet(path))
-    return without(docs, spark.read.parquet(path))
+    path, rows = fresh_path(spark, "contaminated"), keyed(docs)
+    (contamination(rows.select(F.col("_key").alias("doc_id"), field(docs, "text")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+     .filter("contaminated").select(F.col("doc_id").alias("_key")).write.parquet(path))
+    return without(rows, spark.read.parquet(path), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Columns by exact name, so that extra columns (also ones that differ in case only, or repeat a helper's name) disturb nothing."""
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from lectern.session import fresh_path
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -17,3 +19,15 @@ def packed(df: DataFrame, *names: str) -> DataFrame:
 def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
     """The rows of `packed` under their own names again."""
     return df.select(*[F.col(f"_row._c{i}") for i in range(len(like.columns))]).toDF(*like.columns)
+
+
+def keyed(df: DataFrame) -> DataFrame:
+    """Rows of `packed` with a number of their own in `_key`, staged in the shared folder so that every reader sees the same numbers."""
+    path = fresh_path(df.sparkSession, "keyed")
+    packed(df).withColumn("_key", F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def field(like: DataFrame, name: str) -> Column:
+    """The column that `pick` takes, in rows of `packed`."""
+    return F.col(f"_row._c{like.columns.index(name)}").alias(name)

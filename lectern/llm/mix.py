@@ -18,7 +18,7 @@ of their own; an empty table gives no rows.
 """
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.llm.frames import packed, pick, unpacked
+from lectern.llm.frames import field, keyed, pick
 from lectern.session import fresh_path
 
 WEIGHTS = (5, 2, 1)
@@ -42,8 +42,10 @@ def permuted(df: DataFrame, column: str, size: str, *key: str) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    return pick(docs, "doc_id", "source", "text").select(
-        "doc_id", "source", F.xxhash64("text").alias("text_hash"),
+    """A row for each row of docs, with its `_key` if it has one."""
+    key = [n for n in docs.columns if n == "_key"]
+    return pick(docs, "doc_id", "source", "text", *key).select(
+        "doc_id", "source", *key, F.xxhash64("text").alias("text_hash"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))
 
 
@@ -104,13 +106,13 @@ def shard_counts(slots: DataFrame) -> DataFrame:
 def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """Documents with words, with the position of their first word in their source."""
     rows = (sizes.filter("size > 0").join(sources.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-            .withColumn("_key", F.xxhash64(F.lit(103), "doc_id", "text_hash")).withColumn("_bucket", F.pmod("_key", F.lit(BUCKETS))))
+            .withColumn("_order", F.xxhash64(F.lit(103), "doc_id", "text_hash")).withColumn("_bucket", F.pmod("_order", F.lit(BUCKETS))))
     totals = rows.groupBy("source_no", "_bucket").agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("source_no").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("source_no", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("source_no", "_bucket").orderBy("_key", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source_no", "_bucket").orderBy("_order", "doc_id", "text_hash", *[n for n in sizes.columns if n == "_key"]).rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, ["source_no", "_bucket"])
-            .withColumn("offset", F.col("_start") + F.col("_within")).drop("_start", "_within", "_bucket", "_key"))
+            .withColumn("offset", F.col("_start") + F.col("_within")).drop("_start", "_within", "_bucket", "_order"))
 
 
 def pieces(rows: DataFrame) -> DataFrame:
@@ -155,22 +157,21 @@ def _drawn_text(text: Column, spans: Column) -> Column:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: a row for each whole pass over a document, and one with the words drawn in the last pass, if any.
 
-    All columns stay; text and n_chars (if there) become those of the drawn words. Rows of one doc_id and text are drawn alike.
+    All columns stay; text and n_chars (if there) become those of the drawn words. Every row is drawn by itself, repeated ones too.
     """
-    _, _, rows, slots = _plan(docs)
+    every = keyed(docs)
+    _, _, rows, slots = _plan(every.select(*[field(docs, n) for n in ("doc_id", "source", "text")], "_key"))
     last = slots.groupBy("source_no", "block").agg(F.count("*").alias("uses"))
     whole = F.floor(F.col("slots") / F.col("blocks"))
     met = (pieces(rows).join(last.hint("merge"), ["source_no", "block"], "left").withColumn("whole", whole)
-           .groupBy("doc_id", "text_hash", "source_no", "offset", "size", "whole")
+           .groupBy("_key", "size", "whole")
            .agg(F.array_sort(F.collect_list(F.when(F.coalesce("uses", F.lit(0)) > F.col("whole"), F.struct("lo", "hi")))).alias("spans")))
     plan = (met.withColumn("extra", F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["hi"] - x["lo"]))
-            .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-            .agg(F.first("whole").alias("_whole"), F.first("size").alias("_size"), F.max_by("spans", "offset").alias("_spans"),
-                 F.max_by("extra", "offset").alias("_extra")).filter("_whole > 0 OR _extra > 0"))
+            .select("_key", F.col("whole").alias("_whole"), F.col("size").alias("_size"), F.col("spans").alias("_spans"), F.col("extra").alias("_extra"))
+            .filter("_whole > 0 OR _extra > 0"))
     passes = F.concat(F.array_repeat(F.lit(True), (F.col("_whole") + F.when(F.col("_extra") == F.col("_size"), 1).otherwise(0)).cast("int")),
                       F.array_repeat(F.lit(False), F.when((F.col("_extra") > 0) & (F.col("_extra") < F.col("_size")), 1).otherwise(0)))
-    out = (packed(docs, "doc_id", "text").withColumn("_h", F.xxhash64("text"))
-           .join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")))
+    out = (every.select("_row", "_key", field(docs, "text")).join(plan, "_key")
            .withColumn("_all", F.explode(passes))
            .withColumn("_text", F.when(F.col("_all"), F.col("text")).otherwise(_drawn_text(F.col("text"), F.col("_spans")))))
     fields = [F.col("_text") if n == "text" else F.length("_text").cast(t) if n == "n_chars" else F.col(f"_row._c{i}")

@@ -81,3 +81,39 @@ def test_whole_run(spark):
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and {x.doc_id for x in rows} <= {x.doc_id for x in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "decontamination", "mix_sources", "token_output"]
+
+
+def test_null_and_repeated_ids_are_judged_by_row(spark, tmp_path):
+    r, vocab = random.Random(21), vocabulary(400, 7)
+    say = lambda n: " ".join(r.choice(vocab) for _ in range(n))
+    item, copy, lone = say(30), say(60), say(60)
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, say(40)), (1, say(40)), (2, say(40))]
+    rows = clean + [(None, f"{say(5)} {item}"), (1, f"{say(5)} {item} x"), (3, f"{item} {say(5)}")]
+    out = corpus_pipeline.drop_contaminated(spark, documents(spark, rows), str(tmp_path))
+    assert sorted([(x.doc_id, x.text) for x in out.collect()], key=str) == sorted(clean, key=str)
+    clean = [(8, copy), (9, say(60)), (None, say(60))]
+    out = corpus_pipeline.drop_similar(spark, documents(spark, clean + [(None, copy), (None, copy), (9, copy), (None, lone), (None, lone)]), str(tmp_path)).collect()
+    assert sorted([(x.doc_id, x.text) for x in out], key=str) == sorted([*clean, (None, lone)], key=str)
+
+
+def test_repeated_rows_are_drawn_one_by_one(spark):
+    r, vocab = random.Random(22), vocabulary(300, 6)
+    long = " ".join(r.choice(vocab) for _ in range(3000))
+    rows = [(1, long, "a")] * 5 + [(1, long, "b")] + [(None, long, "c")] * 2 + [(10 + i, " ".join(r.choice(vocab) for _ in range(40)), r.choice("abc")) for i in range(90)]
+    spark_rows = documents(spark, rows)
+    drawn = {(x.doc_id, x.source): x.n for x in mixed_words(corpus_pipeline.mix_sources(spark, spark_rows, ""))}
+    plan = taken_by_source(spark_rows)
+    assert {s: sum(n for (_, source), n in drawn.items() if source == s) for s in "abc"} == plan
+
+
+def mixed_words(mixed):
+    return mixed.groupBy("doc_id", "source").agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("n")).collect()
+
+
+def taken_by_source(docs):
+    """Words drawn of each source; sources are told apart by their size."""
+    size = {x.source: x.n for x in docs.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("n")).collect()}
+    taken = {x.source_size: x.n for x in taken_words(docs).groupBy("source_size").agg(F.sum("taken").alias("n")).collect()}
+    assert len(set(size.values())) == len(size)
+    return {s: taken[n] for s, n in size.items()}
