@@ -1,6 +1,9 @@
 """What a job needs from its session: a shared folder that outlives executors, and safe settings."""
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +41,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, for jobs that write and read back."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (made := _SCRATCH.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables under paths made inside are removed at its end, so what is computed inside must be written to a path made before."""
+    token = _SCRATCH.set([])
+    try:
+        yield
+    finally:
+        made = _SCRATCH.get()
+        _SCRATCH.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
