@@ -1,5 +1,6 @@
 """Columns by exact name, so that extra columns (also ones that differ in case only, or repeat a helper's name) disturb nothing."""
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.session import fresh_path
 
@@ -22,10 +23,23 @@ def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    """Rows of `packed` with a number of their own in `_key`, staged in the shared folder so that every reader sees the same numbers."""
-    path = fresh_path(df.sparkSession, "keyed")
-    packed(df).withColumn("_key", F.monotonically_increasing_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Rows of `packed` with a number of their own in `_key`, the same for every reader. A Parquet table is numbered by file and place in the
+    file and not copied; other rows are staged in the shared folder."""
+    spark, path, seed = df.sparkSession, fresh_path(df.sparkSession, "keyed"), 0
+    rows = packed(df)
+    try:
+        rows = rows.select("_row", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        rows.withColumn("_key", F.monotonically_increasing_id()).write.parquet(path)
+        return spark.read.parquet(path)
+    rows.select("_path").distinct().write.parquet(f"{path}/names")
+    names, number = spark.read.parquet(f"{path}/names"), lambda c: F.xxhash64(F.lit(seed), c)
+    while not names.groupBy(number("_path")).count().filter("count > 1").isEmpty():
+        seed += 1
+    # One pair of numbers for each file of the table: the listing that the driver holds anyway is many times larger.
+    files = names.select(number("_path").alias("_file"), (F.row_number().over(Window.orderBy(number("_path"))) - 1).cast("bigint").alias("_number"))
+    return (rows.withColumn("_file", number("_path")).join(F.broadcast(files), "_file")
+            .select("_row", (F.col("_number") * (1 << 40) + F.col("_place")).alias("_key")))
 
 
 def field(like: DataFrame, name: str) -> Column:
