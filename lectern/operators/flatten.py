@@ -14,7 +14,7 @@ def flatten_modules(manifests: DataFrame) -> DataFrame:
     ids = F.transform("m.modules", lambda x: x["id"])
     return (manifests.select("course_id", ids.alias("ids"), F.posexplode("m.modules").alias("pos", "mod"))
             .select("course_id", F.col("mod.id").alias("module_id"), "pos",
-                    _last_index(F.col("ids"), F.col("mod.id")).alias("mod_idx"),
+                    last_index(F.col("ids"), F.col("mod.id")).alias("mod_idx"),
                     F.coalesce("mod.title", "mod.id").alias("title"), F.col("mod.description").alias("description"),
                     F.col("mod.artifact_rung").alias("rung"), F.col("mod.difficulty_band").alias("band"),
                     F.col("mod.depends_on").alias("depends_on"), F.col("mod.requires_skills").alias("requires_skills"),
@@ -22,26 +22,25 @@ def flatten_modules(manifests: DataFrame) -> DataFrame:
                     F.col("mod.lessons").alias("lesson_ids")))
 
 
-def _last_index(ids: Column, wanted: Column) -> Column:
+def last_index(ids: Column, wanted: Column) -> Column:
     from_end = F.array_position(F.reverse(ids), wanted)
     return F.when(from_end > 0, F.size(ids) - from_end).cast("int")
 
 
-def order_lessons(manifests: DataFrame) -> DataFrame:
-    """lessons in course order: module place, then `order` (0 if absent), then place in the array."""
-    module_ids = F.transform("m.modules", lambda x: x["id"])
-
+def ordered_lessons() -> Column:
+    """The lessons of a manifest's row in course order: module place, then `order` (0 if absent), then place in the array."""
     def placed(raw: Column, i: Column) -> Column:
         place = F.from_json(raw, schemas.LESSON_PLACE)
-        idx = F.coalesce(_last_index(F.col("module_ids"), place["module"]), F.lit(vocab.UNKNOWN_MODULE_POS))
-        return F.struct(idx.alias("mod_idx"), F.coalesce(place["order"], F.lit(0)).cast("bigint").alias("ord"),
-                        i.alias("array_pos"), raw.alias("raw"))
-
-    sorted_rows = (manifests.select("course_id", module_ids.alias("module_ids"), F.col("m.lessons").alias("raw"))
-                   .select("course_id", F.array_sort(F.transform("raw", placed)).alias("ordered")))
-    return (sorted_rows.select("course_id", F.posexplode("ordered").alias("lesson_pos", "p"))
-            .select("course_id", "lesson_pos", "p.mod_idx", "p.ord", "p.array_pos", "p.raw",
-                    F.from_json("p.raw", schemas.LESSON).alias("l"))
+        idx = F.coalesce(last_index(F.transform("m.modules", lambda x: x["id"]), place["module"]), F.lit(vocab.UNKNOWN_MODULE_POS))
+        return F.struct(idx.alias("mod_idx"), F.coalesce(place["order"], F.lit(0)).cast("bigint").alias("ord"), i.alias("array_pos"),
+                        raw.alias("raw"), place["id"].alias("id"), place["module"].alias("module"))
+    return F.array_sort(F.transform("m.lessons", placed))
+
+
+def order_lessons(manifests: DataFrame) -> DataFrame:
+    """lessons in course order, parsed."""
+    return (manifests.select("course_id", ordered_lessons().alias("ordered")).select("course_id", F.posexplode("ordered").alias("lesson_pos", "p"))
+            .select("course_id", "lesson_pos", "p.mod_idx", "p.ord", "p.array_pos", "p.raw", F.from_json("p.raw", schemas.LESSON).alias("l"))
             .select("course_id", F.col("l.id").alias("lesson_id"), F.col("l.module").alias("module_id"), "mod_idx",
                     "ord", "array_pos", "lesson_pos", "raw", F.col("l.brief").alias("brief"),
                     F.col("l.research").alias("research")))

@@ -91,15 +91,22 @@ def lesson_skills(lessons: DataFrame, modules: DataFrame, courses: DataFrame) ->
                     .otherwise(F.coalesce("default_skills", empty)).alias("skills")))
 
 
+def code_block_key(challenge: Column) -> Column:
+    return slug(F.coalesce(challenge["id"], F.lit("exercise")))
+
+
+def quiz_block_key(block: Column, i: Column) -> Column:
+    return slug(F.coalesce(_filled(block["key"]), F.when(i == 0, "check").otherwise(F.concat(F.lit("check-"), (i + 1).cast("string")))))
+
+
 def lesson_blocks(lessons: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The ordered blocks of each lesson: prose, runnable challenges, quizzes; and what was skipped."""
     shape = "array<struct<key:string,type:string,language:string>>"
     runnable = F.filter("brief.coding_challenges", lambda c: c["language"].isin(vocab.CHALLENGE_LANGS))
     code = F.transform(runnable, lambda c: F.struct(
-        slug(F.coalesce(c["id"], F.lit("exercise"))).alias("key"), F.lit("code").alias("type"), c["language"].alias("language")))
+        code_block_key(c).alias("key"), F.lit("code").alias("type"), c["language"].alias("language")))
     quiz = F.transform("brief.quiz_blocks", lambda b, i: F.struct(
-        slug(F.coalesce(_filled(b["key"]), F.when(i == 0, "check").otherwise(F.concat(F.lit("check-"), (i + 1).cast("string")))))
-        .alias("key"), F.lit("quiz").alias("type"), F.lit(None).cast("string").alias("language")))
+        quiz_block_key(b, i).alias("key"), F.lit("quiz").alias("type"), F.lit(None).cast("string").alias("language")))
     intro = F.array(F.struct(F.lit("intro").alias("key"), F.lit("prose").alias("type"),
                              F.lit(None).cast("string").alias("language")))
     none = F.array().cast(shape)

@@ -15,11 +15,11 @@ def read_manifests(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame
 
 
 def parse_manifests(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """texts(path, value) -> manifests(course_id, path, m), rejects(path, reason)."""
+    """texts(path, value) -> manifests(course_id, path, m, raw), rejects(path, reason)."""
     valid = is_json(F.col("value"))
     is_object = F.col("value").rlike(r"\A\s*\{")
     good = texts.filter(valid & is_object).withColumn("m", F.from_json("value", schemas.MANIFEST, JSON_OPTIONS))
-    manifests = good.select(F.coalesce("m.course.id", "path").alias("course_id"), "path", "m")
+    manifests = good.select(F.coalesce("m.course.id", "path").alias("course_id"), "path", "m", F.col("value").alias("raw"))
     rejects = texts.filter(~(valid & is_object)).select(
         "path", F.when(~valid, "not JSON").otherwise("not an object").alias("reason"))
     return manifests, rejects

@@ -1,6 +1,8 @@
 """Writers. Each is one distributed write; order inside a file set is carried by a column, not by files."""
 from pyspark.sql import DataFrame, functions as F
 
+from lectern.functions.text import JSON_OPTIONS
+from lectern.operators.documents import LESSON_DOCUMENT, course_documents
 from lectern.operators.gate import gate
 
 
@@ -13,31 +15,29 @@ def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
     return placed.hint("rebalance", *(["kind"] if "kind" in df.columns else []), "bucket")
 
 
-def write_course_tree(manifests: DataFrame, lessons: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """course, module, brief, research, cadence and assessment documents, as JSON by kind.
+def write_course_tree(manifests: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """All files of every course tree (documents.course_documents), one row each.
 
     Paths are partitioned by kind and by a hash bucket of the course, so a catalog of any size makes a
-    bounded number of folders; course_id is in every row.
+    bounded number of folders; course_id and the file's own path are in every row.
     """
-    def docs(df, kind, subject, body):
-        return df.select("course_id", F.lit(kind).alias("kind"), subject.cast("string").alias("subject"), F.to_json(body).alias("doc"))
-
-    course = docs(manifests, "course", F.col("course_id"), F.struct("m.course", "m.dag", "m.glossary", "m.concept_ledger"))
-    cadence = docs(manifests.filter("m.cadence is not null"), "cadence", F.col("course_id"), F.col("m.cadence"))
-    assess = docs(manifests.filter("m.assessment is not null"), "assessment", F.col("course_id"), F.col("m.assessment"))
-    modules = manifests.select("course_id", F.explode("m.modules").alias("mod"))
-    tree = (course.unionByName(cadence).unionByName(assess)
-            .unionByName(docs(modules, "module", F.col("mod.id"), F.col("mod")))
-            .unionByName(docs(lessons, "brief", F.col("lesson_id"), F.col("brief")))
-            .unionByName(docs(lessons.filter("research is not null"), "research", F.col("lesson_id"), F.col("research"))))
-    _bucketed(tree, buckets).write.mode("overwrite").partitionBy("kind", "bucket").json(path)
-
-
-def write_publish_tree(courses: DataFrame, blocks: DataFrame, prose: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Course documents, lesson documents (one row per block, `pos` is its place), prose texts."""
-    _bucketed(courses, buckets).write.mode("overwrite").partitionBy("bucket").json(f"{path}/courses")
-    _bucketed(blocks, buckets).write.mode("overwrite").partitionBy("bucket").json(f"{path}/lessons")
-    _bucketed(prose, buckets).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/prose")
+    _bucketed(course_documents(manifests), buckets).write.mode("overwrite").partitionBy("kind", "bucket").json(path)
+
+
+def read_course_tree(spark, path: str) -> DataFrame:
+    return spark.read.schema("course_id STRING, subject STRING, path STRING, doc STRING, kind STRING, bucket INT").json(path).drop("bucket")
+
+
+def write_publish_tree(courses: DataFrame, lessons: DataFrame, copies: DataFrame, prose: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Course and lesson documents as one JSON text each, challenge sources to copy or to write as placeholders, prose texts."""
+    for name, df in (("courses", courses.select("course_id", "text")), ("lessons", lessons.select("course_id", "lesson_id", "lesson_pos", "path", "text")),
+                     ("sources", copies), ("prose", prose)):
+        _bucketed(df, buckets).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/{name}")
+
+
+def read_lesson_documents(spark, path: str) -> DataFrame:
+    """The lesson documents of a publish tree, parsed from their texts again."""
+    return spark.read.parquet(f"{path}/lessons").drop("bucket").withColumn("doc", F.from_json("text", LESSON_DOCUMENT, JSON_OPTIONS))
 
 
 def write_flags(flags: DataFrame, courses: DataFrame, path: str) -> DataFrame:

@@ -2,10 +2,11 @@
 from pyspark.sql import SparkSession, functions as F
 
 from lectern import schemas, vocab
-from lectern.operators import challenges, code, corpus, drafts, flatten, publish, state
+from lectern.operators import challenges, code, corpus, documents, drafts, flatten, publish, state, visuals
 from lectern.session import fresh_path
 from lectern.sources import files, sinks
-from oracle import draft_data as dd, manifest_data as md, manifest_queries as mq, star_queries as sq
+from lectern.sources.manifests import parse_manifests
+from oracle import draft_data as dd, draft_queries as dq, manifest_data as md, manifest_queries as mq, star_queries as sq
 from oracle.draft_queries import longs, phrases, phrases_sql
 from oracle.shared import flag_sql, union_sql, with_ctes
 
@@ -214,31 +215,98 @@ add("d25_route_form", asks, f"SELECT conv_id, turn, CASE {_route} END AS form FR
 # ---- sinks: written to the shared folder and read back -------------------------------------------------------
 
 
-def course_tree(spark, sf):
-    path = fresh_path(spark, "course-tree")
-    sinks.write_course_tree(md.manifests(spark, sf), md.tables(spark, sf)["lessons"], path)
-    back = spark.read.schema("course_id STRING, subject STRING, doc STRING, kind STRING, bucket INT").json(path)
-    return back.select("course_id", "kind", "subject", F.coalesce(F.get_json_object("doc", "$.id"), F.get_json_object("doc", "$.course.id")).alias("id"))
+PLANTED = '"x_unknown":{"z":[2.5,{"k":"é"}],"a":12345678901234567890}'
 
 
+def course_tree(spark, sf):
+    """Unknown keys are planted in courses, modules and briefs, and lesson lists in modules; every document is written, read back and looked into."""
+    path, value = fresh_path(spark, "course-tree"), F.col("value")
+    for at in ('"course":{', '"brief":{'):
+        value = F.replace(value, F.lit(at), F.lit(f"{at}{PLANTED},"))
+    value = F.replace(value, F.lit('{"id":"mod-'), F.lit('{"lessons":["l0","ghost","l1"],' + PLANTED + ',"id":"mod-'))
+    sinks.write_course_tree(parse_manifests(md.texts(spark, sf).withColumn("value", value))[0], path)
+    at = {"manifest": "$.course.title", "module": "$.module.lesson_files", "brief": "$.lesson.title", "research": "$.research.status", "assessment": "$.proof_matrix[1].outcome"}
+    doc, kind = F.col("doc"), F.col("kind")
+    inside = F.when(kind == "course", F.concat(F.get_json_object(doc, "$.modules"), F.get_json_object(doc, "$.lessons"))).when(kind == "facts", doc)
+    for name, where in at.items():
+        inside = inside.when(kind == name, F.get_json_object(doc, where))
+    return sinks.read_course_tree(spark, path).select("course_id", "kind", "subject", "path", inside.alias("inside"), F.contains(doc, F.lit(PLANTED)).alias("unknown_kept"))
+
+
+_LAST = f"(SELECT *, {mq.stem_sql()} AS st FROM pos QUALIFY row_number() OVER (PARTITION BY d, id ORDER BY pos DESC) = 1)"
 add("k01_course_tree", course_tree, union_sql(
-    "SELECT course_id, 'course' AS kind, course_id AS subject, course_id AS id FROM src", "SELECT course_id, 'cadence', course_id, NULL FROM src",
-    "SELECT course_id, 'assessment', course_id, NULL FROM src", "SELECT course_id, 'module', id, id FROM mods", "SELECT course_id, 'brief', id, id FROM les",
-    "SELECT course_id, 'research', id, NULL FROM les WHERE research IS NOT NULL"), md.CTES)
+    """SELECT src.course_id, 'course' AS kind, src.course_id AS subject, 'course.yaml' AS path, CAST(to_json(mo) AS VARCHAR) || CAST(to_json(lo) AS VARCHAR) AS inside, true AS unknown_kept
+       FROM src JOIN (SELECT d AS md, list(id ORDER BY m) AS mo FROM mods GROUP BY d) ON md = d JOIN (SELECT d AS ld, list(id ORDER BY pos) AS lo FROM pos GROUP BY d) ON ld = d""",
+    "SELECT course_id, 'manifest', course_id, 'manifest.json', 'Doc ' || d, true FROM src",
+    "SELECT course_id, 'cadence', course_id, 'cadence.yaml', NULL, false FROM src",
+    "SELECT course_id, 'assessment', course_id, 'assessment.yaml', 'to-' || d % 5, false FROM src",
+    f"""SELECT course_id, 'module', id, printf('modules/%02d-', CAST(m AS INT)) || {mq.slug_sql('id')} || '/module.yaml', CASE WHEN id LIKE 'mod-%' THEN '{{' || coalesce(fl, '') || '}}' ELSE '{{}}' END, id LIKE 'mod-%'
+       FROM mods LEFT JOIN (SELECT d AS fd, string_agg('"' || id || '":"../../lessons/briefs/' || st || '.brief.yaml"', ',' ORDER BY id) AS fl
+         FROM {_LAST} WHERE id IN ('l0', 'l1') GROUP BY d) ON fd = d WHERE m = mod_idx""",
+    f"SELECT course_id, 'brief', id, 'lessons/briefs/' || st || '.brief.yaml', title, true FROM {_LAST}",
+    f"SELECT course_id, 'research', id, 'lessons/research/' || st || '.research.yaml', research, false FROM {_LAST} WHERE research IS NOT NULL",
+    f"SELECT course_id, 'facts', id, 'lessons/facts/' || st || '.facts.md', fact_1 || chr(10) || fact_2 || chr(10), false FROM {_LAST} WHERE research IS NOT NULL"), md.CTES)
 
 
-def publish_tree(spark, sf):
-    path, t = fresh_path(spark, "publish-tree"), md.tables(spark, sf)
-    sinks.write_publish_tree(publish.publish_meta(t["courses"]), publish.lesson_blocks(t["lessons"])[0], dd.drafts(spark, sf).select("course_id", "stem", F.col("md").alias("prose")), path)
-    kinds = spark.read.schema("course_id STRING, lesson_id STRING, pos BIGINT, key STRING, type STRING, language STRING").json(f"{path}/lessons").groupBy("type").agg(F.count("*").alias("n"))
-    courses = spark.read.schema("course_id STRING").json(f"{path}/courses").agg(F.count("*").alias("n")).select(F.lit("course").alias("type"), "n")
-    prose = spark.read.parquet(f"{path}/prose").agg(F.count("*").alias("n")).select(F.lit("intro").alias("type"), "n")
-    return kinds.unionByName(courses).unionByName(prose)
+def challenge_files(spark, sf):
+    """Two of three challenge files are there."""
+    return (md.tables(spark, sf)["challenges"].select("course_id", F.explode(F.array("starter", "solution", "tests")).alias("path"))
+            .filter("pmod(length(path) + length(course_id), 3) > 0"))
 
 
-add("k02_publish_tree", publish_tree, union_sql(
-    "SELECT 'prose' AS type, count(*) AS n FROM les", "SELECT 'code', count(*) FROM ch WHERE lang <> 'go'", "SELECT 'quiz', count(*) FROM les WHERE quiz IN ('two', 'empty')",
-    "SELECT 'course', count(*) FROM src", "SELECT 'intro', count(*) FROM documents"), md.CTES)
+def publish_tree(spark, sf):
+    """Lesson documents as written and read back, one row per block with all it holds."""
+    path, t, md_rows = fresh_path(spark, "publish-tree"), md.tables(spark, sf), dd.drafts(spark, sf)
+    meta = publish.publish_meta(t["courses"])
+    sinks.write_publish_tree(documents.course_publish_documents(md.manifests(spark, sf), meta), documents.lesson_documents(t["lessons"], t["modules"], t["courses"], meta),
+                             documents.challenge_copies(t["lessons"], challenge_files(spark, sf)), drafts.project_prose(md_rows, visuals.asset_choice(dq.assets(md_rows)))[0], path)
+    back = sinks.read_lesson_documents(spark, path).select("course_id", "lesson_id", "lesson_pos", "path", "doc", F.posexplode("doc.blocks").alias("pos", "b"))
+    asked = F.from_json("b.questions", "ARRAY<STRUCT<id: STRING, prompt: STRING, multiSelect: BOOLEAN, options: ARRAY<STRUCT<id: STRING, label: STRING, correct: BOOLEAN>>>>")
+    shown = F.array_join(F.transform(asked, lambda q: F.concat_ws("|", q["id"], q["prompt"], q["multiSelect"].cast("string"), F.array_join(F.transform(
+        q["options"], lambda o: F.concat_ws(":", o["id"], o["label"], o["correct"].cast("string"))), "/"))), "\n")
+    return back.select("course_id", "lesson_id", F.col("lesson_pos").cast("bigint").alias("lesson_pos"), "path", F.col("doc.id").alias("id"), F.col("doc.title").alias("title"),
+                       F.array_join("doc.skills", ",").alias("skills"), F.col("pos").cast("bigint").alias("pos"), "b.key", "b.type", "b.src", "b.language", "b.buildType",
+                       "b.starter", "b.solution", "b.tests", shown.alias("questions"))
+
+
+def _prefix(t: str) -> str:
+    return f"CASE WHEN {t}.d % 4 = 0 THEN 'p' || {t}.d WHEN {t}.d % 41 = 0 THEN 'C' ELSE 'c' || substr(CAST({t}.d AS VARCHAR), 1, 1) END"
+
+
+_ASKED = """CASE WHEN quiz <> 'two' THEN '' ELSE concat_ws('|', q1_id, q1_prompt, 'false', concat_ws('/', concat_ws(':', 'a', label_1, CAST(q1_slot = 0 AS VARCHAR)),
+    concat_ws(':', 'b', label_2, CAST(q1_slot = 1 AS VARCHAR)), concat_ws(':', 'c', label_3, CAST(q1_slot = 2 AS VARCHAR)))) || chr(10) ||
+    concat_ws('|', q2_id, 'why?', CAST(q2_multi AS VARCHAR), concat_ws('/', concat_ws(':', 'a', label_1, CAST(q2_a AS VARCHAR)), concat_ws(':', q2_oid, label_3, CAST(q2_b AS VARCHAR)))) END"""
+_EXT = "CASE lang WHEN 'typescript' THEN '.ts' ELSE '.rs' END"
+_QUIZ_KEY = mq.slug_sql("coalesce(quiz_key, 'check')")
+_LESSON_BLOCKS = union_sql(
+    """SELECT d, i, 0 AS r, 0 AS p, 'intro' AS key, 'prose' AS type, 'intro.md' AS src, NULL AS language, NULL AS buildType, NULL AS starter, NULL AS solution,
+       NULL AS tests, NULL AS questions FROM les""",
+    f"""SELECT d, i, 1, pos, k, 'code', NULL, lang, build, k || '/starter' || {_EXT}, k || '/solution' || {_EXT}, k || '/tests.json', NULL
+        FROM (SELECT *, {mq.slug_sql('cid')} AS k FROM ch) WHERE lang <> 'go'""",
+    f"SELECT d, i, 2, 0, {_QUIZ_KEY}, 'quiz', NULL, NULL, NULL, NULL, NULL, NULL, {_ASKED} FROM les WHERE quiz IN ('two', 'empty')")
+_SKILLS = mq.SKILLS_SQL.replace("SELECT course_id, lesson_id,", "SELECT course_id, i,", 1).replace("les.id AS lesson_id", "les.i")
+add("k02_publish_tree", publish_tree, f"""SELECT pos.course_id, pos.id AS lesson_id, pos.pos AS lesson_pos, 'lessons/' || {mq.slug_sql('pos.id')} || '/lesson.yaml' AS path,
+    'lesson-' || {_prefix('pos')} || '-' || {mq.slug_sql('pos.id')} AS id, pos.title, k.skills,
+    row_number() OVER (PARTITION BY pos.d, pos.i ORDER BY r, p) - 1 AS pos, key, type, src, language, buildType, b.starter, b.solution, b.tests, questions
+  FROM pos JOIN ({_LESSON_BLOCKS}) b ON b.d = pos.d AND b.i = pos.i JOIN ({_SKILLS}) k ON k.course_id = pos.course_id AND k.i = pos.i""", md.CTES)
+add("u04_challenge_copies", lambda s, sf: documents.challenge_copies(md.tables(s, sf)["lessons"], challenge_files(s, sf)), f"""
+  SELECT course_id, lesson_id, key, role, src, 'lessons/' || {mq.slug_sql('lesson_id')} || '/' || key || '/' || CASE role WHEN 'tests' THEN 'tests.json' ELSE role || {_EXT} END AS dest,
+    CASE WHEN src = '' OR (length(src) + length(course_id)) % 3 = 0 THEN CASE role WHEN 'tests' THEN '[]' || chr(10) ELSE '' END END AS content
+  FROM (SELECT course_id, lesson_id, {mq.slug_sql('cid')} AS key, lang, unnest(['starter', 'solution', 'tests']) AS role,
+          unnest([coalesce(starter, ''), coalesce(solution, ''), coalesce(tests, '')]) AS src FROM ch WHERE lang <> 'go')""", md.CTES)
+
+
+def course_docs(s, sf):
+    docs = documents.course_publish_documents(md.manifests(s, sf), publish.publish_meta(md.tables(s, sf)["courses"]))
+    back = docs.select("course_id", F.from_json("text", "id STRING, modules ARRAY<STRUCT<key: STRING, title: STRING, lessons: ARRAY<STRING>>>").alias("d"))
+    return (back.select("course_id", "d.id", F.posexplode("d.modules").alias("pos", "m"))
+            .select("course_id", "id", F.col("pos").cast("bigint").alias("pos"), "m.key", "m.title", F.array_join("m.lessons", ",").alias("lessons")))
+
+
+_MODULE_KEY = mq.slug_sql("replace(mods.id, 'module-', '')")
+add("u04_course_documents", course_docs, f"""SELECT mods.course_id, regexp_replace(substr('course-' || {mq.slug_sql('mods.course_id')}, 1, 32), '-+$', '') AS id, m AS pos, {_MODULE_KEY} AS key,
+    coalesce(mods.title, mods.id) AS title, coalesce(string_agg('lesson-' || {_prefix('mods')} || '-' || {mq.slug_sql('pos.id')}, ',' ORDER BY pos.pos) FILTER (pos.id IS NOT NULL), '') AS lessons
+  FROM mods LEFT JOIN pos ON pos.d = mods.d AND pos.module = mods.id GROUP BY mods.course_id, mods.d, m, mods.id, mods.title""", md.CTES)
 
 
 def written_flags(spark, sf):

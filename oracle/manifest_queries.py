@@ -277,14 +277,15 @@ def skills(t, s, sf):
     return publish.lesson_skills(rows, t["modules"], t["courses"]).withColumn("skills", F.array_join("skills", ","))
 
 
-add("u03_lesson_skills", skills, """SELECT course_id, lesson_id, CASE WHEN s <> '' THEN s WHEN d % 2 = 0 THEN 'general' ELSE '' END AS skills FROM (
+SKILLS_SQL = """SELECT course_id, lesson_id, CASE WHEN s <> '' THEN s WHEN d % 2 = 0 THEN 'general' ELSE '' END AS skills FROM (
   SELECT les.d, les.course_id, les.id AS lesson_id, CASE WHEN les.d % 2 = 1 THEN '' ELSE
     array_to_string(list_filter([
       CASE WHEN b_at IS NOT NULL THEN CASE WHEN a_at IS NULL OR b_at < a_at THEN 'basics' ELSE 'accounts' END WHEN a_at IS NOT NULL THEN 'accounts' END,
       CASE WHEN b_at IS NOT NULL AND a_at IS NOT NULL THEN CASE WHEN b_at < a_at THEN 'accounts' ELSE 'basics' END END], lambda v: v IS NOT NULL), ',') END AS s
   FROM (SELECT l.*, list_position(list_transform(nodes, lambda v: v IN ('s0', 's2')), true) AS b_at, list_position(nodes, 's1') AS a_at
     FROM (SELECT les.*, list_concat(coalesce(tt, []), CASE WHEN pre_1 IS NULL THEN [] ELSE [pre_1, pre_2] END) AS nodes FROM les
-      LEFT JOIN (SELECT d AS td, id AS tid, arg_min([teach_1, teach_2], m) AS tt FROM mods GROUP BY ALL) ON td = les.d AND tid = les.module) l) les)""")
+      LEFT JOIN (SELECT d AS td, id AS tid, arg_min([teach_1, teach_2], m) AS tt FROM mods GROUP BY ALL) ON td = les.d AND tid = les.module) l) les)"""
+add("u03_lesson_skills", skills, SKILLS_SQL)
 
 
 def blocks(t, s, sf):
