@@ -132,7 +132,7 @@ def all_findings(briefs: DataFrame) -> DataFrame:
                 lists=(_weak_verbs(),))
 
 
-def blocklist_hits(briefs: DataFrame, phrases: DataFrame) -> DataFrame:
+def blocklist_hits(briefs: DataFrame, phrases: DataFrame | blocklist.PhraseIndex) -> DataFrame:
     """A phrase inside any one of five fields."""
     fields = ["title", "hook", "concept_spec", "artifact_spec", "color"]
     # The separator cannot occur in a phrase, so no match crosses two fields.

@@ -8,16 +8,12 @@ from lectern.operators import blocklist
 from lectern.operators.flags import HARD, flag
 
 
-def phrase_sweep(text_fields: DataFrame, phrases: DataFrame) -> DataFrame:
+def phrase_sweep(text_fields: DataFrame, phrases: DataFrame | blocklist.PhraseIndex) -> DataFrame:
     """text_fields(course_id, field, subject, text) x phrases(phrase): where a retired phrase still stands."""
-    # Equal texts are searched once.
-    texts = text_fields.select(F.sha2("text", 256).alias("text_id"), "text").dropDuplicates(["text_id"])
-    found = blocklist.hits(texts, ["text_id"], "text", phrases)
-    return (text_fields.select("course_id", "field", "subject", F.sha2("text", 256).alias("text_id"))
-            .join(found, "text_id").select("course_id", "field", "subject", "phrase"))
+    return blocklist.hits(text_fields, ["course_id", "field", "subject"], "text", phrases)
 
 
-def draft_blocklist(drafts: DataFrame, phrases: DataFrame) -> DataFrame:
+def draft_blocklist(drafts: DataFrame, phrases: DataFrame | blocklist.PhraseIndex) -> DataFrame:
     hits = blocklist.hits(drafts, ["course_id", "stem"], "md", phrases)
     return flag(hits, "drafts", "blocklist", HARD, F.col("stem"), F.col("phrase"))
 

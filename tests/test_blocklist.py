@@ -35,3 +35,19 @@ def test_time_grows_with_the_text_only(spark):
         blocklist.hits(spark.createDataFrame([(1, text)], "id int, text string"), ["id"], "text", phrases).count()
         took.append(time.time() - start)
     assert took[2] < 20
+
+
+def test_common_beginnings_and_repeated_keys(spark):
+    """Every text holds the beginning of every phrase; only the rare part decides. Rows of one key are rows of their own."""
+    phrases = [(f"the same long beginning of all {i:03d} ends",) for i in range(200)]
+    texts = [(1, f"The same long beginning of all ... The Same long beginning of all {i:03d} ends" + " x" * i) for i in range(0, 400, 3)] + [(1, None), (1, "")]
+    index = blocklist.PhraseIndex(spark.createDataFrame(phrases, "phrase string"), spark.createDataFrame(texts, "id int, text string"))
+    got = blocklist.hits(spark.createDataFrame(texts, "id int, text string").repartition(3), ["id"], "text", index)
+    assert sorted(r.phrase for r in got.collect()) == [p for p, in phrases[::3]]
+    assert index.anchors.filter("at < 20").count() == 0  # no phrase is anchored where all are alike
+
+
+def test_a_phrase_across_two_rows_is_none(spark):
+    texts = [(1, "ends with a phr"), (2, "ase here"), (3, "a phrase"), (4, "é" * 50 + "phrase"), (5, "phras" * 1000 + "e")]
+    got = blocklist.hits(spark.createDataFrame(texts, "id int, text string").coalesce(1), ["id"], "text", spark.createDataFrame([("phrase",), ("é",), ("a phrase",)], "phrase string"))
+    assert sorted((r.id, r.phrase) for r in got.collect()) == [(3, "a phrase"), (3, "phrase"), (4, "phrase"), (4, "é"), (5, "phrase")]
