@@ -211,6 +211,7 @@ def catalog_tables(manifests: DataFrame, lessons: DataFrame | None = None) -> di
     return {
         "courses": courses, "modules": modules, "lessons": lessons, "briefs": with_defaults(lessons),
         "stems": stems(lessons), "ids": ids, "nodes": nodes, "edges": edges,
+        "graphs": manifests.select("course_id", F.col("m.dag.nodes").alias("nodes"), F.col("m.dag.edges").alias("edges")),
         "module_deps": modules.select("course_id", "module_id", F.explode("depends_on").alias("dep")),
         "module_skills": requires.unionByName(teaches).drop("mod_idx"),
         "teaches": teaches, "requires": requires, "first_taught": first,

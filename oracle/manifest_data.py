@@ -238,6 +238,16 @@ CTES = {
              AND dst IN ('s0','s1','s2','s3','s4','s5','s6','s7')""",
     "walk": """SELECT d, course_id, dst AS node, 1 AS len FROM de UNION
                SELECT w.d, w.course_id, e.dst, w.len + 1 FROM walk w JOIN de e ON e.d = w.d AND e.src = w.node WHERE w.len < 8""",
+    "kedge": """SELECT d, i, CAST(substr(src, 2) AS INT) + 1 AS a, CAST(substr(dst, 2) AS INT) + 1 AS b FROM edge WHERE dst IN ('s0','s1','s2','s3','s4','s5','s6','s7')""",
+    "kout": """SELECT d, a, list_transform(range(1, 9), lambda x: len(list_filter(bs, lambda y: y = x))) AS minus,
+               list_transform(range(1, 9), lambda x: 100000 - coalesce(list_position(list_reverse(bs), x), 0)) AS lasts FROM (SELECT d, a, list(b ORDER BY i) AS bs FROM kedge GROUP BY ALL)""",
+    "kin": """SELECT src.d, src.course_id, list_transform(range(1, 9), lambda x: len(list_filter(coalesce(bs, []), lambda y: y = x))) AS g
+              FROM src LEFT JOIN (SELECT d AS kd, list(b) AS bs FROM kedge GROUP BY d) ON kd = src.d""",
+    "kahn": """SELECT d, course_id, g, list_filter(range(1, 9), lambda x: g[x] = 0) AS q, list_transform(list_filter(range(1, 9), lambda x: g[x] = 0), lambda x: 0) AS ds, 1 AS p FROM kin
+               UNION ALL SELECT d, course_id, list_transform(range(1, 9), lambda x: g[x] - minus[x]), q || new_, ds || list_transform(new_, lambda x: ds[p] + 1), p + 1
+               FROM (SELECT kahn.*, coalesce(minus, [0, 0, 0, 0, 0, 0, 0, 0]) AS minus,
+                       list_transform(list_sort(list_transform(list_filter(range(1, 9), lambda x: coalesce(minus[x], 0) > 0 AND g[x] = minus[x]), lambda x: [lasts[x], x])), lambda s: s[2]) AS new_
+                     FROM kahn LEFT JOIN kout ON kout.d = kahn.d AND kout.a = kahn.q[kahn.p] WHERE p <= len(q))""",
     "ans": """SELECT *, list_position(rights, true) AS slot, list_transform(labels, lambda v: length(v)) AS lens FROM qs
               WHERE NOT multi AND len(list_filter(rights, lambda r: r)) = 1""",
     "first": "SELECT d, skill, min(mod_idx) AS seen_at FROM tea GROUP BY ALL",

@@ -304,8 +304,12 @@ add("u04_skipped_blocks", lambda t, s, sf: publish.lesson_blocks(t["lessons"])[1
 NODES = "('s0','s1','s2','s3','s4','s5','s6','s7')"
 rule("g02_edges_in_manifests", lambda t: graph.dangling_edges(t["nodes"], t["edges"]),
      flag_sql("dag", "dangling_edge", H, "src || '->' || dst", "''", f"FROM (SELECT DISTINCT course_id, src, dst FROM edge WHERE src NOT IN {NODES} OR dst NOT IN {NODES})"))
-rule("g03_cycles_in_manifests", lambda t: graph.cycle_flags(t["nodes"], t["edges"]),
+rule("g03_cycles_in_manifests", lambda t: graph.cycle_flags_in_rows(t["graphs"]),
      flag_sql("dag", "cycle", H, "node", "''", "FROM walk WHERE len = 8"))
+# The queue of each course, one node taken off a round: edges into each node that are left, and the nodes a step frees, by their last edge.
+add("g03_topo_order", lambda t, s, sf: graph.places(t["graphs"]).select("course_id", "node", F.col("place").cast("bigint").alias("place"), "depth").filter("place IS NOT NULL"), """
+  SELECT course_id, 's' || (node - 1) AS node, place, depth FROM (SELECT course_id, unnest(q) AS node, generate_subscripts(q, 1) - 1 AS place, unnest(ds) AS depth
+    FROM (SELECT * FROM kahn QUALIFY row_number() OVER (PARTITION BY d ORDER BY p DESC) = 1))""")
 rule("g08_lesson_deps_in_manifests", lambda t: graph.forward_lesson_deps(t["prereqs"], t["lessons"]),
      flag_sql("dag", "forward_lesson_dep", H, "lesson_id", "pre", "FROM pre JOIN (SELECT d AS pd, id AS pid, max(pkey) AS pk FROM pos GROUP BY ALL) ON pd = d AND pid = pre WHERE kind = 'lesson' AND pk >= pkey"))
 rule("g09_untaught_in_manifests", lambda t: graph.untaught_skills(t["prereqs"], t["first_taught"]),

@@ -1,5 +1,7 @@
 """Graph, quiz, state, publishing, code verdicts: small inputs with known answers, and brute force."""
 import random
+import time
+from collections import Counter
 
 import pytest
 
@@ -19,7 +21,8 @@ def kahn(nodes, edges):
         edges, level = {(a, b) for a, b in edges if a not in free}, level + 1
 
 
-def test_peeling_matches_brute_force(spark):
+@pytest.mark.parametrize("limit", [1 << 16, 9, 0])
+def test_peeling_matches_brute_force(spark, limit):
     rng = random.Random(3)
     nodes, edges, left, depth = [], [], set(), set()
     for c in range(12):
@@ -31,8 +34,35 @@ def test_peeling_matches_brute_force(spark):
         left |= {(c, n) for n in rest}
         depth |= {(c, n, k) for n, k in d.items()}
     n, e = spark.createDataFrame(nodes, "course_id int, node string"), spark.createDataFrame(edges, "course_id int, src string, dst string")
-    assert {tuple(r) for r in graph.cycle_leftovers(n, e).collect()} == left
-    assert {tuple(r) for r in graph.topo_depth(n, e).collect()} == depth
+    assert {tuple(r) for r in graph.cycle_leftovers(n, e, limit).collect()} == left
+    assert {tuple(r) for r in graph.topo_depth(n, e, limit).collect()} == depth
+
+
+def test_a_long_chain_and_the_order_of_a_queue(spark):
+    chain = [f"n{i}" for i in range(200)]
+    n = spark.createDataFrame([(1, x) for x in chain], "course_id int, node string")
+    e = spark.createDataFrame([(1, a, b) for a, b in zip(chain, chain[1:])], "course_id int, src string, dst string")
+    start = time.time()
+    assert {r.node: r.depth for r in graph.topo_depth(n, e).collect()} == {x: i for i, x in enumerate(chain)}
+    assert time.time() - start < 20
+    rng = random.Random(9)
+    for _ in range(200):
+        nodes = [f"n{i}" for i in rng.sample(range(9), 7)] + ["n0"]
+        edges = [(rng.choice(nodes), rng.choice([*nodes, "ghost"])) for _ in range(rng.randint(0, 9))]
+        fed, queue, order = Counter(b for a, b in edges if a in nodes and b in nodes), [], []
+        queue = [x for x in dict.fromkeys(nodes) if not fed[x]]
+        while queue:
+            order.append(queue[0])
+            for a, b in edges:
+                if a == queue[0] and b in nodes:
+                    fed[b] -= 1
+                    queue += [b] if not fed[b] else []
+            queue = queue[1:]
+        got = graph.settled(nodes, edges)
+        assert [x for x, p, _ in sorted(got, key=lambda r: (r[1] is None, r[1])) if p is not None] == order
+        assert {x: d for x, _, d in got if d is not None} == kahn(nodes, edges)[0]
+    rows = spark.createDataFrame([("c", ["b", None, "a"], [["a", "b"], ["a"], None, [None, "b"], ["a", "x"]]), ("d", None, None)], "course_id string, nodes array<string>, edges array<array<string>>")
+    assert sorted(map(tuple, graph.places(rows).collect())) == [("c", "a", 0, 0), ("c", "b", 1, 1)]
 
 
 def test_no_edges_means_no_cycle(spark):
