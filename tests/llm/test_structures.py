@@ -1,5 +1,6 @@
 """Packing, source audit and conversation trie against plain versions."""
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import conversation_trie, source_audit
 from lectern.llm.conversation_trie import DoubleArray, pack, prefix_trie, turn_paths, walk
-from lectern.llm.harmonic_packing import cut_plan, packed_pieces, sequences, text_parts
+from lectern.llm.harmonic_packing import cut_plan, encoder, packed_pieces, sequences
 from lectern.llm.structure_queries import rebuilt
 from llm_kit import lower, vocabulary
 
@@ -77,14 +78,19 @@ def test_cuts_use_open_classes_and_few_pieces():
     assert [n for n in range(1, 2049) if cut_plan(2048, 0)[n] & (cut_plan(2048, 0)[n] - 1)] == []
 
 
-def test_text_parts_join_and_tokenise_alike():
+def test_ids_are_those_of_the_tokenizers_library(tmp_path):
     from tokenizers import Tokenizer
     tokenizer, r = Tokenizer.from_file(TOKENIZER), random.Random(2)
-    for _ in range(60):
-        text = "".join(r.choice(["a", "é", " ", "  ", "\n", "'s", "1", "-", " b", "　", "don't"]) for _ in range(200))
-        parts = text_parts(text, 7)
-        assert "".join(parts) == text
-        assert [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids] == tokenizer.encode(text, add_special_tokens=False).ids
+    encode = encoder(TOKENIZER)
+    parts = ["a", "é", " ", " ", "  ", "\n", "'s", "'LL", "1", "½", "-", " b", "\u3000", "\xa0", " \u2028", "don't", "語", "\u0301", "🙂", "\x00", "<|endoftext|>", "\xad", "ĠĊ"]
+    for _ in range(400):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 200)))
+        assert encode(text).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    spec = json.load(open(TOKENIZER))
+    spec["model"]["merges"].reverse()
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        encoder(str(tmp_path / "t.json"))
 
 
 # -- source audit
