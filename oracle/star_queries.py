@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lectern.operators import challenges, course, flatten, graph, publish, quiz, state
 from lectern.operators.order import number_within
+from lectern.session import fresh_path
+from lectern.sources import tree_store
 from oracle.shared import flag_sql, union_sql, with_ctes
 
 H, A = "'HARD'", "'advisory'"
@@ -327,5 +329,21 @@ _edit = "okey % 3 <> 0 AND okey % 4 <> 0 AND okey % 5 = 0"
 add("t01_hash_drift", lambda s, sf: state.drift(*tree(s, sf)),
     f"""SELECT course_id, 'briefs/' || lesson_id AS path, CASE WHEN {_edit} THEN 'skip' ELSE 'write' END AS action,
        sha256(CASE WHEN {_edit} THEN 'mine ' ELSE 'v2 ' END || okey) AS sha256, {_edit} AS edited_by_human FROM o""")
+
+
+def applied(spark, sf):
+    """A tree is written, edited by hand in places, planned anew and read back; the second plan is applied twice, as after a failure."""
+    root, (planned, disk, lock) = fresh_path(spark, "tree"), tree(spark, sf)
+    first = planned.join(lock, ["course_id", "path"], "left_semi").withColumn("content", F.replace("content", F.lit("v2"), F.lit("v1")))
+    tree_store.apply_plan(first, root, "first")
+    tree_store.apply_edits(disk.join(first, ["course_id", "path"], "left_semi").filter("content LIKE 'mine%'"), root, "by-hand")
+    for _ in range(2):
+        tree_store.apply_plan(planned, root, "second")
+    files, lock = tree_store.read_tree(spark, root)
+    return files.join(lock, ["course_id", "path"], "full").withColumn("course_id", F.col("course_id").cast("bigint"))
+
+
+add("t01_applied_drift", applied, f"""SELECT course_id, 'briefs/' || lesson_id AS path, CASE WHEN {_edit} THEN 'mine ' ELSE 'v2 ' END || okey AS content,
+    sha256(CASE WHEN {_edit} THEN 'mine ' ELSE 'v2 ' END || okey) AS sha256, {_edit} AS edited_by_human FROM o""")
 add("t01_forced_write", lambda s, sf: state.drift(*tree(s, sf), force=True),
     "SELECT course_id, 'briefs/' || lesson_id AS path, 'write' AS action, sha256('v2 ' || okey) AS sha256, false AS edited_by_human FROM o")
