@@ -72,7 +72,7 @@ def _verify():
 
 
 def _difficulty():
-    value = F.col(B + "difficulty").try_cast("bigint")
+    value = F.col("bare_difficulty")  # integers only: a quoted number is none
     return finding(~value.between(1, 3), "bad_difficulty", ADVISORY, F.col("lesson_id"), value)
 
 
@@ -141,11 +141,28 @@ def blocklist_hits(briefs: DataFrame, phrases: DataFrame | blocklist.PhraseIndex
     return flag(blocklist.hits(texts, ["course_id", "lesson_id", "array_pos"], "text", phrases), "briefs", "blocklist", HARD, F.col("lesson_id"), F.col("phrase"))
 
 
+# A command's words as a shell reads them: plain runs, escaped characters, quoted parts. Possessive, so linear and flat.
+_PLAIN, _ESCAPED, _SINGLE, _DOUBLE = r"[^{}'\"\\]++", r"\\[\s\S]", r"'[^']*+'", r'"(?:[^"\\]++|\\[\s\S])*+"'
+_WORD_PART = "|".join([_PLAIN.format(r"\x20\t\r\n"), _ESCAPED, _SINGLE, _DOUBLE])
+_WHOLE = rf"\A(?:{'|'.join([_PLAIN.format(''), _ESCAPED, _SINGLE, _DOUBLE])})*+\z"
+
+
+def first_shell_word(segment: Column) -> Column:
+    """The first word without its quotes and escapes; null where a quote or an escape is left open."""
+    def bare(part: Column) -> Column:
+        inner = F.substring(part, F.lit(2), F.length(part) - 2)
+        return (F.when(part.startswith("'"), inner).when(part.startswith('"'), F.regexp_replace(inner, r'\\(["\\])', "$1"))
+                .otherwise(F.regexp_replace(part, r"\A\\([\s\S])\z", "$1")))
+    parts = F.regexp_extract_all(F.regexp_extract(segment, rf"\A(?:{_WORD_PART})*+", 0), F.lit(f"({_WORD_PART})"), F.lit(1))
+    return F.when(segment.rlike(_WHOLE), F.array_join(F.transform(parts, bare), ""))
+
+
 def smoke_eligibility(briefs: DataFrame, allowlist=tuple(vocab.SMOKE_ALLOWLIST)) -> DataFrame:
-    """Every pipe segment of the verify command starts with an allowed word (or wc)."""
+    """Every pipe segment of the verify command starts with an allowed word (or wc), read as a shell reads it. As a bar cuts a command even
+    inside quotes, a segment with an open quote is not eligible."""
     command = F.col(B + "verify.command")
     parts = F.filter(F.transform(F.split(command, r"\|", -1), lambda s: strip(s)), lambda s: s != "")
-    ok = F.forall(parts, lambda s: F.regexp_extract(s, rf"\A[{NOT_SPACE}]*", 0).isin([*allowlist, "wc"]))
+    ok = F.forall(parts, lambda s: F.coalesce(first_shell_word(s).isin([*allowlist, "wc"]), F.lit(False)))
     return (briefs.filter(F.coalesce(command, F.lit("")) != "")
             .select("course_id", "lesson_id", command.alias("command"), ok.alias("eligible")))
 

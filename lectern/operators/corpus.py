@@ -1,5 +1,5 @@
 """Profiles and routing over the content corpus: catalogs, forms, lengths, phrases."""
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lectern import vocab
 from lectern.functions import fences as fn
@@ -31,13 +31,35 @@ def catalog_cube(catalog: DataFrame) -> DataFrame:
                        F.when(in_margin[1], "all").otherwise(F.coalesce(F.col("year").cast("string"), F.lit("unknown"))).alias("year"), "n")
 
 
+def exact_medians(values: DataFrame, key: str, value: str, width: int = 256) -> DataFrame:
+    """(key, median) of whole numbers, with no task holding a key's rows: counts per value, then per bucket of `width` values; only the buckets that
+    hold the middle ranks are looked into. Nulls are left out; the median of two middle values is their mean."""
+    counts = (values.filter(F.col(value).isNotNull()).groupBy(key, F.col(value).cast("bigint").alias("_v")).agg(F.count("*").alias("_n"))
+              .withColumn("_b", F.floor(F.col("_v") / width)))
+
+    def before(*within: str):
+        return Window.partitionBy(key, *within[:-1]).orderBy(within[-1]).rowsBetween(Window.unboundedPreceding, -1)
+
+    buckets = counts.groupBy(key, "_b").agg(F.sum("_n").alias("_bn"))
+    ranked = (buckets.withColumn("_start", F.coalesce(F.sum("_bn").over(before("_b")), F.lit(0)))
+              .join(counts.groupBy(key).agg(F.sum("_n").alias("_all")), key)
+              .withColumn("_lo", F.expr("(_all - 1) div 2")).withColumn("_hi", F.expr("_all div 2")))
+    middle = ranked.filter("(_lo >= _start AND _lo < _start + _bn) OR (_hi >= _start AND _hi < _start + _bn)").select(key, "_b", "_start", "_lo", "_hi")
+    placed = counts.join(middle, [key, "_b"]).withColumn("_at", F.col("_start") + F.coalesce(F.sum("_n").over(before("_b", "_v")), F.lit(0)))
+
+    def at(rank: str):
+        return F.max(F.when((F.col(rank) >= F.col("_at")) & (F.col(rank) < F.col("_at") + F.col("_n")), F.col("_v")))
+    return placed.groupBy(key).agg(((at("_lo") + at("_hi")) / 2).alias("median"))
+
+
 def corpus_profile(pieces: DataFrame) -> DataFrame:
     """pieces(form, words, code_lines, prose_lines): size of each form."""
-    return pieces.groupBy("form").agg(
+    sizes = pieces.groupBy("form").agg(
         F.count("*").alias("pieces"), F.sum("words").cast("bigint").alias("total_words"), F.round(F.avg("words"), 2).alias("mean_words"),
-        F.percentile("words", 0.5).alias("median_words"), F.min("words").cast("bigint").alias("min_words"),
+        F.min("words").cast("bigint").alias("min_words"),
         F.max("words").cast("bigint").alias("max_words"), F.sum("code_lines").cast("bigint").alias("code_lines"),
         F.sum("prose_lines").cast("bigint").alias("prose_lines"))
+    return sizes.join(exact_medians(pieces, "form", "words").withColumnRenamed("median", "median_words"), "form", "left")
 
 
 def pieces(drafts: DataFrame, form_column: str) -> DataFrame:

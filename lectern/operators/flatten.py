@@ -50,11 +50,12 @@ PLACE = ["mod_idx", "ord", "array_pos"]
 
 
 def with_defaults(lessons: DataFrame) -> DataFrame:
-    """briefs(course_id, lesson_id, place, kind, declared_kind, brief)"""
+    """briefs(course_id, lesson_id, place, kind, declared_kind, bare_difficulty, brief); the difficulty is null unless it is written as an integer."""
     declared = F.coalesce("brief.kind", F.lit("build"))
     return lessons.select(
         "course_id", "lesson_id", *PLACE, declared.alias("declared_kind"),
-        F.when(declared.isin(vocab.LESSON_KINDS), declared).otherwise("build").alias("kind"), "brief")
+        F.when(declared.isin(vocab.LESSON_KINDS), declared).otherwise("build").alias("kind"),
+        F.from_json("raw", "brief STRUCT<difficulty: BIGINT>")["brief"]["difficulty"].alias("bare_difficulty"), "brief")
 
 
 def stems(lessons: DataFrame) -> DataFrame:
@@ -176,8 +177,25 @@ def course_rows(manifests: DataFrame) -> DataFrame:
         F.col("m.course.routing.lesson_template").alias("template"), F.col("m.academy").alias("publish"))
 
 
-def text_fields(lessons: DataFrame, courses: DataFrame, drafts: DataFrame) -> DataFrame:
-    """Every text a learner may read: text_fields(course_id, field, subject, text)."""
+def catalog_texts(manifests: DataFrame) -> DataFrame:
+    """Texts that stand in a manifest beside its lessons: covers, modules, outcomes, the glossary."""
+    def texts(items: Column, subject: str, *fields: tuple[str, str]) -> Column:
+        return F.flatten(F.transform(items, lambda x: F.array(*[F.struct(
+            F.lit(field).alias("field"), x[subject].cast("string").alias("subject"), x[name].cast("string").alias("text")) for field, name in fields])))
+
+    cover = F.array(F.struct(F.lit("course_overview").alias("field"), F.col("course_id").cast("string").alias("subject"),
+                             F.get_json_object("raw", "$.course.overview").alias("text")))
+    lists = [cover, texts(F.col("m.modules"), "id", ("module_title", "title"), ("module_description", "description"), ("module_question", "driving_question"),
+                          ("module_artifact", "artifact")),
+             F.transform("m.modules", lambda x: F.struct(F.lit("module_outcome").alias("field"), x["id"].alias("subject"), x["outcome"]["statement"].alias("text"))),
+             texts(F.col("m.course.terminal_outcomes"), "id", ("outcome", "statement")), texts(F.col("m.glossary"), "term", ("glossary_term", "term"), ("glossary_def", "def"))]
+    none = F.array().cast("array<struct<field:string,subject:string,text:string>>")
+    return (manifests.select("course_id", F.explode(F.concat(*[F.coalesce(x, none) for x in lists])).alias("t")).select("course_id", "t.field", "t.subject", "t.text")
+            .filter(~is_blank(F.col("text"))))
+
+
+def text_fields(lessons: DataFrame, courses: DataFrame, drafts: DataFrame, manifests: DataFrame | None = None) -> DataFrame:
+    """Every text a learner may read: text_fields(course_id, field, subject, text). manifests adds catalog_texts."""
     brief_fields = ["title", "hook", "concept_spec", "artifact_spec", "exercise_spec", "the_tradeoff"]
     from_briefs = lessons.select("course_id", F.col("lesson_id").alias("subject"), F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f"brief.{f}").alias("text")) for f in brief_fields])).alias("t"))
@@ -186,8 +204,12 @@ def text_fields(lessons: DataFrame, courses: DataFrame, drafts: DataFrame) -> Da
                 F.struct(F.lit("quiz_explanation").alias("field"), q["explanation"].alias("text"))),
         F.transform(q["options"], lambda o: F.struct(F.lit("quiz_label").alias("field"), o["label"].alias("text"))),
         F.transform(q["options"], lambda o: F.struct(F.lit("quiz_feedback").alias("field"), o["feedback"].alias("text"))))))
+    code = F.flatten(F.transform("brief.coding_challenges", lambda c: F.concat(
+        F.array(F.struct(F.lit("challenge_title").alias("field"), c["title"].alias("text")), F.struct(F.lit("challenge_prompt").alias("field"), c["prompt"].alias("text"))),
+        F.transform(F.coalesce(c["hints"], F.array().cast("array<string>")), lambda h: F.struct(F.lit("challenge_hint").alias("field"), h.alias("text"))))))
     goals = F.transform("brief.objectives", lambda o: F.struct(F.lit("objective").alias("field"), o["statement"].alias("text")))
     from_quiz = (lessons.select("course_id", F.col("lesson_id").alias("subject"), F.explode(quiz).alias("t"))
+                 .unionByName(lessons.select("course_id", F.col("lesson_id").alias("subject"), F.explode(code).alias("t")))
                  .unionByName(lessons.select("course_id", F.col("lesson_id").alias("subject"), F.explode(goals).alias("t"))))
     from_courses = courses.select("course_id", F.col("course_id").alias("subject"), F.explode(F.array(
         F.struct(F.lit("course_title").alias("field"), F.col("title").alias("text")),
@@ -195,7 +217,8 @@ def text_fields(lessons: DataFrame, courses: DataFrame, drafts: DataFrame) -> Da
     from_drafts = drafts.select("course_id", F.col("stem").alias("subject"), F.struct(
         F.lit("draft").alias("field"), F.col("md").alias("text")).alias("t"))
     together = from_briefs.unionByName(from_quiz).unionByName(from_courses).unionByName(from_drafts)
-    return together.select("course_id", "t.field", "subject", "t.text").filter(~is_blank(F.col("text")))
+    texts = together.select("course_id", "t.field", "subject", "t.text").filter(~is_blank(F.col("text")))
+    return texts if manifests is None else texts.unionByName(catalog_texts(manifests))
 
 
 def catalog_tables(manifests: DataFrame, lessons: DataFrame | None = None) -> dict[str, DataFrame]:

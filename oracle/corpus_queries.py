@@ -152,21 +152,21 @@ add("c06_uncallable_inputs", lambda s, sf: challenges.uncallable_inputs(test_inp
 
 
 def facts(spark, sf):
+    """Every line of a document is a fact, and two more."""
     docs = table(spark, sf, "documents").withColumnRenamed("doc_id", "d").withColumnRenamed("source", "course_id")
-    words = F.split(F.get(F.split("text", "\n", -1), F.lit(0)), " ", -1)
-    return docs.select("course_id", F.expr(dd.STEM).alias("stem"), F.posexplode(F.array(
-        F.array_join(F.slice(words, 1, 2), " "), F.expr("'fixed fact ' || d % 3"), F.expr("'# Doc ' || d"))).alias("pos", "fact"))
+    return docs.select("course_id", F.expr(dd.STEM).alias("stem"), F.posexplode(F.concat(
+        F.split("text", "\n", -1), F.array(F.expr("'fixed fact ' || d % 3"), F.expr("'# Doc ' || d")))).alias("pos", "fact"))
 
 
-FACTS = f"""SELECT d, course_id, {dd.STEM} AS stem, unnest([0, 1, 2]) AS pos, unnest([array_to_string(list_slice(string_split(string_split(text, chr(10))[1], ' '), 1, 2), ' '), 'fixed fact ' || d % 3, '# Doc ' || d]) AS fact
-  FROM (SELECT doc_id AS d, source AS course_id, text FROM documents)"""
+FACTS = f"""SELECT d, course_id, stem, unnest(range(len(fs))) AS pos, unnest(fs) AS fact FROM (SELECT d, course_id, {dd.STEM} AS stem,
+  list_concat(string_split(text, chr(10)), ['fixed fact ' || d % 3, '# Doc ' || d]) AS fs FROM (SELECT doc_id AS d, source AS course_id, text FROM documents))"""
 add("t06_facts_present", lambda s, sf: state.facts_present(facts(s, sf), dd.drafts(s, sf).select("course_id", "stem", "md")),
     flag_sql("drafts", "fact_absent", H, "stem", "pos", f"FROM (SELECT f.course_id, f.stem, pos FROM ({FACTS}) f JOIN dr USING (d) WHERE NOT contains(md, fact))"))
 
 
 def fields(spark, sf):
     t = md.tables(spark, sf)
-    return flatten.text_fields(t["lessons"], t["courses"], dd.drafts(spark, sf))
+    return flatten.text_fields(t["lessons"], t["courses"], dd.drafts(spark, sf), md.manifests(spark, sf))
 
 
 _brief = [("title", "title"), ("hook", "hook"), ("concept_spec", "concept_spec"), ("artifact_spec", "artifact_spec"), ("exercise_spec", "exercise_spec"), ("the_tradeoff", "the_tradeoff")]
@@ -177,6 +177,7 @@ ALL["tf"] = f"SELECT * FROM (" + union_sql(
     "SELECT course_id, 'quiz_label', lesson_id, unnest(labels) FROM qs", "SELECT course_id, 'quiz_feedback', lesson_id, unnest(feeds) FROM qs",
     "SELECT course_id, 'objective', id, unnest([objective_1, objective_2]) FROM les WHERE objectives = 'two'",
     "SELECT course_id, 'course_title', course_id, 'Doc ' || d FROM src", "SELECT course_id, 'course_promise', course_id, lines[1] FROM src",
+    "SELECT course_id, 'module_title', id, title FROM mods",
     "SELECT course_id, 'draft', stem, md FROM dr") + f") WHERE NOT {mq.blank('text')}"
 add("d20_dash_coverage", lambda s, sf: drafts.dash_coverage(fields(s, sf)),
     """SELECT field, count(*) AS texts, CAST(sum(CASE WHEN field = 'draft' THEN 0 ELSE len(regexp_extract_all(text, '—|–| -- ')) END) AS BIGINT) + CASE WHEN field = 'draft' THEN (SELECT CAST(sum(dashes) AS BIGINT) FROM dc) ELSE 0 END AS dashes
