@@ -9,6 +9,7 @@ from lectern.operators.flags import union
 Check = Callable[[dict, DataFrame], DataFrame]
 
 CHECKS: dict[str, Check] = {
+    "manifest": lambda t, phrases: t["repeated_courses"],
     "dag": lambda t, phrases: graph.dag_flags(t),
     "briefs": lambda t, phrases: union(briefs.brief_flags(t, phrases), quiz.quiz_flags(t), challenges.challenge_flags(t)),
     "ladder": lambda t, phrases: course.ladder_flags(t),
@@ -27,7 +28,8 @@ CHECKS: dict[str, Check] = {
 def run_checks(tables: dict, phrases: DataFrame, names=None) -> DataFrame:
     """All checks over all courses, or those named; "challenges" runs where its files are among the tables. Adding a check is
     adding a function to CHECKS."""
-    names = names or [n for n in CHECKS if n != "challenges" or "challenge_files" in tables]
+    needs = {"challenges": "challenge_files", "manifest": "repeated_courses"}
+    names = names or [n for n in CHECKS if n not in needs or needs[n] in tables]
     return union(*[CHECKS[n](tables, phrases) for n in names])
 
 

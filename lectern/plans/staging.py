@@ -5,6 +5,7 @@ Parquet then gives each rule only the nested columns it names, and a lost execut
 from pyspark.sql import DataFrame
 
 from lectern.operators.flatten import catalog_tables, order_lessons
+from lectern.sources.manifests import one_per_course, repeated_courses
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -13,6 +14,8 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def staged_catalog(manifests: DataFrame, path: str) -> dict[str, DataFrame]:
-    """catalog_tables over a staged copy of the manifests and of the ordered, parsed lessons."""
-    kept = stage(manifests, f"{path}/manifests")
-    return catalog_tables(kept, stage(order_lessons(kept), f"{path}/lessons"))
+    """catalog_tables over a staged copy of the manifests and of the ordered, parsed lessons. Of manifests that claim one course the one of the
+    smallest path counts; the others are flagged in the table `repeated_courses`."""
+    every = stage(manifests, f"{path}/manifests")
+    kept, others = one_per_course(every, stage(repeated_courses(every), f"{path}/repeated"))
+    return {**catalog_tables(kept, stage(order_lessons(kept), f"{path}/lessons")), "repeated_courses": others}

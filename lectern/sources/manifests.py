@@ -3,6 +3,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern import schemas
 from lectern.functions.text import JSON_OPTIONS, is_json
+from lectern.operators.flags import HARD, flag
 
 
 def read_manifests(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
@@ -23,3 +24,16 @@ def parse_manifests(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     rejects = texts.filter(~(valid & is_object)).select(
         "path", F.when(~valid, "not JSON").otherwise("not an object").alias("reason"))
     return manifests, rejects
+
+
+def repeated_courses(manifests: DataFrame) -> DataFrame:
+    """(course_id, first): ids that more than one manifest claims, with the smallest of their paths."""
+    return (manifests.groupBy("course_id").agg(F.min("path").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+
+
+def one_per_course(manifests: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The manifest of the smallest path for every course_id, and a flag for each other one. repeated: a written table of repeated_courses,
+    so that its size is known and the manifests need no shuffle."""
+    marked = manifests.join(repeated, "course_id", "left")
+    kept = marked.filter(F.col("first").isNull() | (F.col("path") == F.col("first"))).drop("first")
+    return kept, flag(marked.filter(F.col("path") != F.col("first")), "manifest", "repeated_course", HARD, F.col("path"), F.col("first"))

@@ -7,7 +7,7 @@ from lectern.operators import briefs, challenges, course, graph, publish, quiz
 from lectern.operators.flags import union
 from lectern.operators.gate import check_verdicts, gate, severity_matrix, suite_report
 from lectern.plans.checks import run_checks
-from lectern.sources.manifests import parse_manifests
+from lectern.sources.manifests import one_per_course, parse_manifests, repeated_courses
 from oracle.draft_queries import phrases, phrases_sql
 from oracle import manifest_data as md
 from oracle.shared import flag_sql, staged, union_sql, with_ctes
@@ -46,6 +46,18 @@ def stem_sql(c: str = None) -> str:
 
 add("s01_rejected_manifests", lambda t, s, sf: parse_manifests(md.texts(s, sf))[1],
     "SELECT 'damaged/' || doc_id || '/manifest.json' AS path, 'not JSON' AS reason FROM documents WHERE doc_id % 50 = 49")
+
+
+def repeated(t, s, sf):
+    """Every seventh manifest stands in a second folder too, before or after its own."""
+    rows, number = md.manifests(s, sf), F.split_part("path", F.lit("/"), F.lit(2)).cast("bigint")
+    again = rows.filter(number % 7 == 0).withColumn("path", F.concat(F.when(number % 2 == 0, "archive/").otherwise("zoo/"), "path"))
+    twice = rows.unionByName(again)
+    return one_per_course(twice, staged(s, sf, "repeated", lambda: repeated_courses(twice)))[1]
+
+
+add("s01_repeated_courses", repeated, flag_sql("manifest", "repeated_course", H, "CASE WHEN d % 2 = 0 THEN p ELSE 'zoo/' || p END", "CASE WHEN d % 2 = 0 THEN 'archive/' || p ELSE p END",
+                                               "FROM (SELECT *, 'catalog/' || d || '/manifest.json' AS p FROM src) WHERE d % 7 = 0"))
 add("p01_modules", lambda t, s, sf: t["modules"].select("course_id", "module_id", F.col("pos").cast("bigint").alias("pos"),
                                                          F.col("mod_idx").cast("bigint").alias("mod_idx"), "title", "rung", "band"),
     "SELECT course_id, id AS module_id, m AS pos, mod_idx, coalesce(title, id) AS title, rung, band FROM mods")
@@ -272,6 +284,20 @@ add("u01_publish_meta", lambda t, s, sf: publish.publish_meta(t["courses"]).with
       '{vocab.DEFAULT_CREATOR}' AS creator, n AS n_lessons FROM src""")
 
 
+def overridden(t, s, sf):
+    """Every third course has its title, points and hours set by the publisher, null or empty where they are not."""
+    set_ = t["courses"].filter("pmod(length(course_id), 3) = 0").select(
+        "course_id", F.when(F.col("n_lessons") % 2 == 0, F.concat(F.lit("Set "), "course_id")).otherwise("").alias("title"),
+        F.when(F.col("n_lessons") % 3 == 0, 50).cast("bigint").alias("xpPerLesson"), F.lit(2.5).alias("duration"))
+    return publish.publish_meta(t["courses"], set_).select("course_id", "title", "xp_per_lesson", F.round(100 * F.col("duration")).cast("bigint").alias("duration"), "xp_reward")
+
+
+add("u01_overrides", overridden, """SELECT course_id, CASE WHEN mine AND n % 2 = 0 THEN 'Set ' || course_id ELSE 'Doc ' || d END AS title,
+    CASE WHEN mine AND n % 3 = 0 THEN 50 WHEN d % 2 = 0 THEN 10 + d % 120 ELSE 20 END AS xp_per_lesson,
+    CAST(CASE WHEN mine THEN 250 WHEN d % 6 = 0 THEN n * 100 WHEN n >= 4 THEN ceil(n * 0.25) * 100 ELSE n * 25 END AS BIGINT) AS duration, least(5000, 20 * n) AS xp_reward
+  FROM (SELECT *, length(course_id) % 3 = 0 AS mine FROM src)""")
+
+
 def skills(t, s, sf):
     rows = t["lessons"].select("course_id", "lesson_id", "module_id", F.col("brief.prerequisites").alias("prerequisites"))
     return publish.lesson_skills(rows, t["modules"], t["courses"]).withColumn("skills", F.array_join("skills", ","))

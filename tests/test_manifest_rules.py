@@ -5,6 +5,7 @@ import pytest
 from lectern.operators.flatten import catalog_tables
 from lectern.operators.gate import gate
 from lectern.plans.checks import run_checks
+from lectern.plans.staging import staged_catalog
 from lectern.sources.manifests import parse_manifests, read_manifests
 from tests import manifest_kit as kit
 
@@ -68,3 +69,11 @@ def test_lesson_order(spark):
     manifests, _ = parse_manifests(spark.createDataFrame([("p", json.dumps(kit.sound_course()))], "path string, value string"))
     rows = catalog_tables(manifests)["lessons"].orderBy("lesson_pos").collect()
     assert [r.lesson_id for r in rows] == ["welcome", "glass", "focus"]
+
+
+def test_of_two_manifests_of_a_course_one_counts(spark, tmp_path):
+    rows = [(p, json.dumps(kit.sound_course())) for p in ("b/manifest.json", "a/manifest.json", "c/manifest.json")]
+    tables = staged_catalog(parse_manifests(spark.createDataFrame(rows, "path string, value string"))[0], str(tmp_path))
+    assert tables["courses"].count() == 1 and tables["lessons"].count() == 3
+    assert sorted((x.rule, x.subject, x.detail) for x in tables["repeated_courses"].collect()) == [
+        ("repeated_course", "b/manifest.json", "a/manifest.json"), ("repeated_course", "c/manifest.json", "a/manifest.json")]
