@@ -13,7 +13,7 @@ from lectern.llm.jaccard_trie import similar_components
 from lectern.llm.mix import mixed_documents
 from lectern.llm.toxicity import fit, scorer
 from lectern.llm.training_order import read_sequences, write_shards
-from lectern.session import fresh_path
+from lectern.session import fresh_path, scratch
 
 
 def without(rows: DataFrame, gone: DataFrame, docs: DataFrame) -> DataFrame:
@@ -32,23 +32,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar rows those with its smallest doc_id stay, or one row if it has no doc_id."""
-    path, rows = fresh_path(spark, "similar"), keyed(docs)
-    (similar_components(rows.select(F.col("_key").alias("doc_id"), field(docs, "text"))).filter("doc_id <> component_id")
-     .select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).write.parquet(f"{path}/members"))
-    others = spark.read.parquet(f"{path}/members")
-    members = others.union(others.select(F.col("_group").alias("_key"), "_group").distinct()).join(rows.select("_key", field(docs, "doc_id")), "_key")
-    stays = members.groupBy("_group").agg(F.min("doc_id").alias("_first"), F.min("_key").alias("_one"))
-    goes = F.when(F.col("_first").isNull(), F.col("_key") != F.col("_one")).otherwise(~F.col("doc_id").eqNullSafe(F.col("_first")))
-    members.join(stays, "_group").filter(goes).select("_key").write.parquet(f"{path}/gone")
-    return without(rows, spark.read.parquet(f"{path}/gone"), docs)
+    """Of each group of similar rows one stays: the first one of its smallest doc_id, null last."""
+    rows, path = keyed(docs), fresh_path(spark, "similar")
+    with scratch(spark):
+        members_path = fresh_path(spark, "members")
+        (similar_components(rows.select(F.col("_key").alias("doc_id"), field(docs, "text"))).filter("doc_id <> component_id")
+         .select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).write.parquet(members_path))
+        others = spark.read.parquet(members_path)
+        members = others.union(others.select(F.col("_group").alias("_key"), "_group").distinct()).join(rows.select("_key", field(docs, "doc_id")), "_key")
+        stays = members.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key"))["_key"].alias("_one"))
+        members.join(stays, "_group").filter("_key <> _one").select("_key").write.parquet(path)
+    return without(rows, spark.read.parquet(path), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule (hit words are 5 % of all, or more) holds for are rejected."""
-    path, rows = fresh_path(spark, "contaminated"), keyed(docs)
-    (contamination(rows.select(F.col("_key").alias("doc_id"), field(docs, "text")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-     .filter("contaminated").select(F.col("doc_id").alias("_key")).write.parquet(path))
+    rows, path = keyed(docs), fresh_path(spark, "contaminated")
+    with scratch(spark):
+        (contamination(rows.select(F.col("_key").alias("doc_id"), field(docs, "text")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+         .filter("contaminated").select(F.col("doc_id").alias("_key")).write.parquet(path))
     return without(rows, spark.read.parquet(path), docs)
 
 
