@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.frames import pick
+from lectern.llm.memory import tidy
 from lectern.llm.words import ALPHANUMERIC, grams, hash_words, mixed, pack_lists, sequence_hash, text_blocks
 from lectern.session import fresh_path
 
@@ -105,7 +106,7 @@ def _scan(lengths: tuple[int, ...], bits: bytes | None, own_length: bool) -> Cal
 def _scanned(df: DataFrame, key: str, lengths: tuple[int, ...], bits: bytes | None, own_length: bool) -> DataFrame:
     rows = pick(df, key, "text").toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_scan(lengths, bits, own_length), f"id {kind}, n_words bigint, k1 bigint, k2 bigint, hits {HITS}")
+    return rows.mapInArrow(tidy(_scan(lengths, bits, own_length)), f"id {kind}, n_words bigint, k1 bigint, k2 bigint, hits {HITS}")
 
 
 def _bitmap(prints: DataFrame) -> bytes:

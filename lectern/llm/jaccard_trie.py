@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from lectern.llm.bits import key_bits, maybe_in
 from lectern.llm.components import components
 from lectern.llm.frames import pick
+from lectern.llm.memory import tidy
 from lectern.llm.words import BLANK_SEPARATED, coefficients, grams, hash_words, mixed, pack_lists, text_blocks
 from lectern.session import fresh_path
 
@@ -81,7 +82,7 @@ def frequency_levels(docs: DataFrame) -> np.ndarray:
 
     schema = "chunk bigint, counts binary"
     total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for chunk, counts in pick(docs, "text").mapInArrow(count, schema).repartition(F.col("chunk")).mapInArrow(add, schema).collect():
+    for chunk, counts in pick(docs, "text").mapInArrow(tidy(count), schema).repartition(F.col("chunk")).mapInArrow(tidy(add), schema).collect():
         total[chunk * CHUNK:(chunk + 1) * CHUNK] = np.frombuffer(counts, np.int64)
     return np.ceil(np.log2(total + 1)).astype(np.uint8)
 
@@ -317,13 +318,13 @@ def _linked(members: DataFrame, features: DataFrame, docs: DataFrame, levels: np
     """Links (a, b) inside the slices of members (centre, slice, id, known)."""
     spark = docs.sparkSession
     possible = (members.join(features, "id").select("centre", "slice", "id", "known", "n", "bins").repartition("centre", "slice")
-                .sortWithinPartitions("centre", "slice", "id").mapInArrow(_possible_task, "g1 bigint, g2 bigint, id bigint, known bigint").distinct())
+                .sortWithinPartitions("centre", "slice", "id").mapInArrow(tidy(_possible_task), "g1 bigint, g2 bigint, id bigint, known bigint").distinct())
     possible.write.parquet(f"{path}/groups")
     groups = spark.read.parquet(f"{path}/groups")
     near = (maybe_in(docs.withColumnRenamed("doc_id", "id"), "id", key_bits(groups.select("id"), "id")).filter("_maybe").select("id", "text"))
-    sets = near.mapInArrow(_sets_task(levels, True), "id bigint, tokens array<bigint>").repartition("id").dropDuplicates(["id", "tokens"])
+    sets = near.mapInArrow(tidy(_sets_task(levels, True)), "id bigint, tokens array<bigint>").repartition("id").dropDuplicates(["id", "tokens"])
     (groups.join(sets, "id").select("g1", "g2", "id", "known", "tokens").repartition("g1", "g2").sortWithinPartitions("g1", "g2", "id")
-     .mapInArrow(_match_task, "a bigint, b bigint").write.parquet(f"{path}/links"))
+     .mapInArrow(tidy(_match_task), "a bigint, b bigint").write.parquet(f"{path}/links"))
     return spark.read.parquet(f"{path}/links")
 
 
@@ -333,7 +334,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     levels = frequency_levels(docs)
     path = fresh_path(spark, "jaccard")
-    (docs.mapInArrow(_sets_task(levels, False), "id bigint, n bigint, c1 bigint, c2 bigint, bins binary, tokens array<bigint>")
+    (docs.mapInArrow(tidy(_sets_task(levels, False)), "id bigint, n bigint, c1 bigint, c2 bigint, bins binary, tokens array<bigint>")
      .write.parquet(f"{path}/prefixes"))
     rows = spark.read.parquet(f"{path}/prefixes")
     whole = rows.filter("n > 0 AND id IS NOT NULL")

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.frames import pick
+from lectern.llm.memory import give_back, tidy
 from lectern.session import fresh_path
 
 TRAIN_ROWS = 20_000
@@ -101,7 +102,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
 
     schema = "chunk bigint, counts binary"
     total = np.zeros(1 << 18, np.int64)
-    for chunk, counts in pick(docs, "text").mapInArrow(count, schema).repartition(F.col("chunk")).mapInArrow(add, schema).collect():
+    for chunk, counts in pick(docs, "text").mapInArrow(tidy(count), schema).repartition(F.col("chunk")).mapInArrow(tidy(add), schema).collect():
         total[chunk * CHUNK:(chunk + 1) * CHUNK] = np.frombuffer(counts, np.int64)
     return total.reshape(64, 64, 64)
 
@@ -249,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
                                                  names=["toxic", "text"])
 
     (pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
-     .select((F.col("toxic") > 0).cast("int").alias("toxic"), "text").mapInArrow(restored, "toxic int, text string").write.parquet(path))
+     .select((F.col("toxic") > 0).cast("int").alias("toxic"), "text").mapInArrow(tidy(restored), "toxic int, text string").write.parquet(path))
     train = spark.read.parquet(path)
 
     def counted(wanted):
@@ -263,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         return task
 
     def counts(kind: int, wanted, least: int) -> dict[str, int]:
-        rows = train.filter(F.col("toxic") == kind).select("text").mapInArrow(counted(wanted), "f string, n bigint")
+        rows = train.filter(F.col("toxic") == kind).select("text").mapInArrow(tidy(counted(wanted)), "f string, n bigint")
         return dict(map(tuple, rows.groupBy("f").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).collect()))
 
     totals = dict(map(tuple, train.groupBy("toxic").count().collect()))
@@ -281,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s[0] for s in seen], pa.list_(pa.int32())), pa.array([s[1] for s in seen], pa.float64())],
                                              names=["toxic", "top", "others"])
 
-    points = train.mapInArrow(measured, "toxic int, top array<int>, others double").collect()
+    points = train.mapInArrow(tidy(measured), "toxic int, top array<int>, others double").collect()
     x = np.zeros((len(points), 1 + len(evidence.top)))
     for i, p in enumerate(points):
         x[i, 0] = p.others
@@ -301,6 +302,7 @@ def scorer(model: tuple) -> Callable[[Column | str], Column]:
         for text in texts:
             top, others = evidence(features(read(text))) if text else ([], 0.0)
             sums.append(weights[0] + weights[1] * others + sum(weights[2 + t] for t in sorted(top)))
+        give_back()
         return pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums, float), -700, 700))))
 
     return score

@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.frames import pick
+from lectern.llm.memory import tidy
 from lectern.llm.words import mixed
 
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -138,7 +139,7 @@ def write_shards(docs: DataFrame, folder: str, key: int = 0, ranks_path: str = R
     kind = rows.schema["doc_id"].dataType.simpleString()
     (rows.withColumn("_shard", F.expr(f"_slot div {per_shard}L")).select("doc_id", "_slot", "_shard", "text")
      .repartition(shards, "_shard").sortWithinPartitions("_slot")
-     .mapInArrow(_write_task(f"{folder}/tokens", ranks_path, stride), f"doc_id {kind}, slot bigint, shard bigint, start bigint, n_tokens bigint")
+     .mapInArrow(tidy(_write_task(f"{folder}/tokens", ranks_path, stride)), f"doc_id {kind}, slot bigint, shard bigint, start bigint, n_tokens bigint")
      .write.parquet(f"{folder}/index"))
     return spark.read.parquet(f"{folder}/index")
 
@@ -174,4 +175,4 @@ def read_sequences(index: DataFrame, folder: str, stride: int = STRIDE) -> DataF
 
     kind = index.schema["doc_id"].dataType.simpleString()
     return (index.select(*_INDEX).repartition("shard").sortWithinPartitions("shard", "start")
-            .mapInArrow(task, f"doc_id {kind}, slot bigint, shard bigint, start bigint, n_tokens bigint, tokens binary"))
+            .mapInArrow(tidy(task), f"doc_id {kind}, slot bigint, shard bigint, start bigint, n_tokens bigint, tokens binary"))
