@@ -2,6 +2,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from lectern import vocab
+from lectern.functions.text import stem
 from lectern.operators.flags import HARD, flag
 from lectern.operators.order import position_key
 
@@ -36,6 +37,33 @@ def state_ledger(lessons: DataFrame, prereqs: DataFrame, drafted: DataFrame) ->
                     F.coalesce("blocked_by", F.array().cast("array<string>")).alias("blocked_by")))
 
 
+def ledger_rows(lessons: DataFrame, drafted: DataFrame) -> DataFrame:
+    """The ledger of a catalog's lessons, as in its state file: lessons as ordered (with brief and research), drafted(course_id, stem) the drafts that are
+    there -> course_id, no, lesson_id, module_id, status, dominant_job, the paths of its files (null where there is none) and blocked_by.
+
+    Of lessons with one id the last names the files. A prerequisite blocks if it is a lesson without a draft; order is that of the brief.
+    """
+    key = ["course_id", "lesson_id"]
+    known = F.when(F.col("mod_idx") < vocab.UNKNOWN_MODULE_POS, F.col("mod_idx"))
+    there = drafted.select("course_id", "stem").distinct().withColumn("drafted", F.lit(True))
+    names = (lessons.groupBy(*key).agg(F.max_by(stem(known, F.col("ord"), F.col("lesson_id")), "lesson_pos").alias("stem"))
+             .join(there, ["course_id", "stem"], "left").withColumn("drafted", F.coalesce("drafted", F.lit(False))))
+    open_ones = names.filter("NOT drafted").select("course_id", F.col("lesson_id").alias("pre"))
+    waiting = (lessons.select("course_id", "lesson_pos", F.posexplode("brief.prerequisites").alias("at", "pre")).join(open_ones, ["course_id", "pre"])
+               .groupBy("course_id", "lesson_pos").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "pre"))), lambda p: p["pre"]).alias("blocked_by")))
+    researched = F.coalesce(F.to_json("research"), F.lit("{}")) != "{}"
+
+    def path(folder: str, end: str, where):
+        return F.when(where, F.concat(F.lit(f"lessons/{folder}/"), F.col("stem"), F.lit(end)))
+    return (lessons.join(names, key).join(waiting, ["course_id", "lesson_pos"], "left").select(
+        "course_id", (F.col("lesson_pos") + 1).cast("bigint").alias("no"), "lesson_id", "module_id",
+        F.when(F.col("drafted"), "drafted").when(F.col("research.status") == "verified", "researched").otherwise("briefed").alias("status"),
+        F.col("brief.dominant_job").alias("dominant_job"), path("briefs", ".brief.yaml", F.lit(True)).alias("brief_file"),
+        path("research", ".research.yaml", researched).alias("research_file"),
+        path("facts", ".facts.md", researched & (F.size("research.frozen_facts") > 0)).alias("facts_file"), path("drafts", ".md", F.col("drafted")).alias("draft_file"),
+        F.coalesce("blocked_by", F.array().cast("array<string>")).alias("blocked_by")))
+
+
 def lifecycle_counts(ledger: DataFrame) -> DataFrame:
     """One row per course; every step of the life cycle has its column."""
     return ledger.groupBy("course_id").agg(

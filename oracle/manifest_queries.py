@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern import vocab
 from lectern.functions.text import module_slug
-from lectern.operators import briefs, challenges, course, graph, publish, quiz
+from lectern.operators import briefs, challenges, course, graph, publish, quiz, state
 from lectern.operators.flags import union
 from lectern.operators.gate import check_verdicts, gate, severity_matrix, suite_report
 from lectern.plans.checks import run_checks
@@ -332,6 +332,23 @@ rule("g02_edges_in_manifests", lambda t: graph.dangling_edges(t["nodes"], t["edg
      flag_sql("dag", "dangling_edge", H, "src || '->' || dst", "''", f"FROM (SELECT DISTINCT course_id, src, dst FROM edge WHERE src NOT IN {NODES} OR dst NOT IN {NODES})"))
 rule("g03_cycles_in_manifests", lambda t: graph.cycle_flags_in_rows(t["graphs"]),
      flag_sql("dag", "cycle", H, "node", "''", "FROM walk WHERE len = 8"))
+
+
+def ledger(t, s, sf):
+    """Every third stem has a draft."""
+    drafted = t["stems"].select("course_id", "stem").filter("pmod(length(stem) + length(course_id), 3) = 0")
+    return state.ledger_rows(t["lessons"], drafted).withColumn("blocked_by", F.array_join("blocked_by", ","))
+
+
+add("t02_ledger_rows", ledger, f"""SELECT * FROM (WITH nm AS (SELECT d AS nd, id AS nid, st, (length(st) + length(course_id)) % 3 = 0 AS drafted
+    FROM (SELECT *, {stem_sql()} AS st FROM pos QUALIFY row_number() OVER (PARTITION BY d, id ORDER BY pos DESC) = 1)),
+  bl AS (SELECT d AS bd, i AS bi, string_agg(pre, ',' ORDER BY k) AS blocked FROM (SELECT d, i, unnest([pre_1, pre_2]) AS pre, unnest([1, 2]) AS k FROM pos WHERE pre_1 IS NOT NULL)
+    JOIN nm ON nd = d AND nid = pre AND NOT drafted GROUP BY ALL)
+  SELECT course_id, pos + 1 AS no, id AS lesson_id, module AS module_id, CASE WHEN drafted THEN 'drafted' WHEN research = 'verified' THEN 'researched' ELSE 'briefed' END AS status, dominant_job,
+    'lessons/briefs/' || st || '.brief.yaml' AS brief_file, CASE WHEN research IS NOT NULL THEN 'lessons/research/' || st || '.research.yaml' END AS research_file,
+    CASE WHEN research IS NOT NULL THEN 'lessons/facts/' || st || '.facts.md' END AS facts_file, CASE WHEN drafted THEN 'lessons/drafts/' || st || '.md' END AS draft_file,
+    coalesce(blocked, '') AS blocked_by
+  FROM pos JOIN nm ON nd = d AND nid = id LEFT JOIN bl ON bd = d AND bi = i)""")
 # The queue of each course, one node taken off a round: edges into each node that are left, and the nodes a step frees, by their last edge.
 add("g03_topo_order", lambda t, s, sf: graph.places(t["graphs"]).select("course_id", "node", F.col("place").cast("bigint").alias("place"), "depth").filter("place IS NOT NULL"), """
   SELECT course_id, 's' || (node - 1) AS node, place, depth FROM (SELECT course_id, unnest(q) AS node, generate_subscripts(q, 1) - 1 AS place, unnest(ds) AS depth
