@@ -138,7 +138,7 @@ def write_shards(docs: DataFrame, folder: str, key: int = 0, ranks_path: str = R
     shards = max(1, -(-n // per_shard))
     kind = rows.schema["doc_id"].dataType.simpleString()
     (rows.withColumn("_shard", F.expr(f"_slot div {per_shard}L")).select("doc_id", "_slot", "_shard", "text")
-     .repartition(shards, "_shard").sortWithinPartitions("_slot")
+     .repartitionById(shards, F.col("_shard").cast("int")).sortWithinPartitions("_slot")
      .mapInArrow(tidy(_write_task(f"{folder}/tokens", ranks_path, stride)), f"doc_id {kind}, slot bigint, shard bigint, start bigint, n_tokens bigint")
      .write.parquet(f"{folder}/index"))
     return spark.read.parquet(f"{folder}/index")
