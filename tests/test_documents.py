@@ -99,3 +99,10 @@ def test_publish_tree_round_trip(spark, course, tmp_path):
                                           ("0.5", True), ('{"a":1}', True), ("[0]", True), ('"x"', True), ("true", True)])
 def test_what_counts_as_filled(spark, text, filled):
     assert spark.createDataFrame([(text,)], "t string").select(documents.holds(F.col("t"))).first()[0] is filled
+
+
+def test_files_of_a_course_tree_are_compressed(spark, course, tmp_path):
+    sinks.write_course_tree(course[0], str(tmp_path), buckets=2)
+    files = [f for f in tmp_path.rglob("part-*")]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert sinks.read_course_tree(spark, str(tmp_path)).count() == documents.course_documents(course[0]).count()
