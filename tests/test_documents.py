@@ -106,3 +106,17 @@ def test_files_of_a_course_tree_are_compressed(spark, course, tmp_path):
     files = [f for f in tmp_path.rglob("part-*")]
     assert files and all(f.name.endswith(".json.gz") for f in files)
     assert sinks.read_course_tree(spark, str(tmp_path)).count() == documents.course_documents(course[0]).count()
+
+
+def test_no_text_of_a_lesson_is_joined(spark, course):
+    tables = catalog_tables(course[0])
+    docs = documents.lesson_documents(tables["lessons"], tables["modules"], tables["courses"], publish_meta(tables["courses"]))
+    plan = docs._jdf.queryExecution().analyzed()
+    below = [plan]
+    while below and "Join" not in below[0].nodeName():
+        below = [below[0].children().apply(i) for i in range(below[0].children().size())]
+    side = below[0].children().apply(0)
+    while "Join" in side.nodeName() or side.nodeName() == "Project" and "Join" in side.children().apply(0).nodeName():
+        side = side.children().apply(0)
+    names = {side.output().apply(i).name() for i in range(side.output().size())}
+    assert "_blocks" in names and not names & {"raw", "brief"}
