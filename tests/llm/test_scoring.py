@@ -163,3 +163,13 @@ def test_wrapped_and_adjacent_licenses(spark):
     rows = scanned(documents(spark, docs)).collect()
     assert sorted([(x.doc_id, x.block_no, x.license) for x in rows], key=str) == sorted(want, key=str)
     assert {x.status for x in rows if x.doc_id < n and x.doc_id % 4 < 3} == {"exact"} and {x.status for x in rows if x.doc_id == n + 4} == {"close"}
+
+
+def test_a_notice_word_for_word_is_confirmed_by_compression():
+    from lectern.llm.license_scan import words
+    scanner, own, asked = Scanner(TEMPLATES), words("ours " + TEMPLATES["ISC"] + " end"), []
+    scanner.saved = lambda part, name, real=scanner.saved: asked.append((len(part), name)) or real(part, name)
+    (lo, hi, name, saved, changes), = scanner.exact(own, [1] * len(own))
+    assert (lo, hi, name, changes) == (1, len(own) - 1, "ISC", []) and saved > 0 and (hi - lo, "ISC") in asked
+    scanner.saved = lambda part, name: 0.0
+    assert scanner.exact(own, [1] * len(own)) == []
