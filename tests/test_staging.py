@@ -32,3 +32,23 @@ def test_derived_manifests_are_not_written_as_texts(spark, tmp_path, monkeypatch
     monkeypatch.setattr(shared, "fresh_path", lambda spark, name: made.append(name) or str(tmp_path / name))
     md.tables(spark, "/root/testdata/sf0.001")
     assert made == ["catalog"]
+
+
+def test_a_text_is_checked_by_two_readings_that_copy_nothing(spark):
+    from lectern.functions.text import is_json
+    texts = ['{"a": [1, {"b": "x"}]}', " 1 ", "null", '{"a": 1} x', '{"a": 1}, {"b": 2}', '1, "broken": "x"', '1]} {"v":[2', '{"a": "\\q"}', '{"a": 01}', "", "  ", '{"broken": "x", "v": 1}', None]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
+    checked = df.filter(is_json(df["t"]))
+    assert [r.n for r in checked.orderBy("n").collect()] == [0, 1, 2, 11]
+    assert [r.j for r in df.select("n", is_json(df["t"]).alias("j")).orderBy("n").collect()] == [n in (0, 1, 2, 11) for n in range(len(texts))]
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and "StructField(v," not in plan
+
+
+def test_only_lessons_of_another_shape_are_rewritten(spark):
+    from oracle import manifest_data as md
+    texts = md.texts(spark, "/root/testdata/sf0.001")
+    assert "replace(array_join" not in texts._jdf.queryExecution().optimizedPlan().toString()
+    whole = "".join(r.value for r in texts.filter("path LIKE 'catalog/%'").collect())
+    assert '"quiz_wrong"' not in whole and '"challenges_wrong"' not in whole and '"assessment":"@' not in whole
+    assert all(x in whole for x in ('"quiz_blocks":{"a":1}', '"coding_challenges":"none"', '"assessment":{"gate":"listen to it"', '"assessment":{"gate":"write code"'))
