@@ -18,10 +18,9 @@ null label teaches nothing, and of several labels of one document the highest co
 import math
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,6 +37,7 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 SUBSTITUTED, JOINED, SHORTENED = 2.0, 0.5, 0.5  # costs in nats
 BREAK, OTHER, DIGIT = 0, 58, 59
 CHUNK = 1 << 10
+AT_ONCE = 500  # rows of a batch that are Python strings at one time
 
 _MARKS = re.escape("".join(LOOKALIKES))
 _LETTER = r"[^\W\d_]"
@@ -75,21 +75,31 @@ def symbols(text: str) -> np.ndarray:
     return np.where(codes < 256, ALPHABET[np.minimum(codes, 255)], np.uint8(OTHER))
 
 
+def strings(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, AT_ONCE rows in memory at a time."""
+    for lo in range(0, len(column), AT_ONCE):
+        yield from column.slice(lo, AT_ONCE).to_pylist()
+
+
 def trigram_counts(docs: DataFrame) -> np.ndarray:
     """Counts of symbol triples in all texts; 256 rows of 1,024 sums reach the driver."""
     def count(batches):
         total = np.zeros(1 << 18, np.int64)
+
+        def add_texts(texts):
+            s = symbols("\n\n" + "\n\n".join(texts) + "\n\n").astype(np.int32)
+            np.add(total, np.bincount(s[:-2] * 4096 + s[1:-1] * 64 + s[2:], minlength=1 << 18), out=total)
+
         for b in batches:
-            texts = [t for t in b.column(0).to_pylist() if t]
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < 1_000_000):
-                    size += len(texts[hi])
-                    hi += 1
-                s = symbols("\n\n" + "\n\n".join(texts[lo:hi]) + "\n").astype(np.int32)
-                total += np.bincount(s[:-2] * 4096 + s[1:-1] * 64 + s[2:], minlength=1 << 18)
-                lo = hi
+            texts, size = [], 0
+            for t in filter(None, strings(b.column(0))):
+                texts.append(t)
+                size += len(t)
+                if size >= 250_000:
+                    add_texts(texts)
+                    texts, size = [], 0
+            if texts:
+                add_texts(texts)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(total) // CHUNK)), pa.array([x.tobytes() for x in total.reshape(-1, CHUNK)], pa.binary())],
                                          names=["chunk", "counts"])
 
@@ -244,8 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     def restored(batches):
         read = Restorer(costs)
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
+            for lo in range(0, b.num_rows, AT_ONCE):
+                part = b.slice(lo, AT_ONCE)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([read(t or "") for t in part.column(1).to_pylist()])],
                                                  names=["toxic", "text"])
 
@@ -257,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         def task(batches):
             total: Counter = Counter()
             for b in batches:
-                for t in b.column(0).to_pylist():
+                for t in strings(b.column(0)):
                     found = features(t)
                     total.update(found if wanted is None else found & wanted)
             yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.string()), pa.array(list(total.values()), pa.int64())], names=["f", "n"])
@@ -278,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     def measured(batches):
         for b in batches:
             kinds = b.column(0).to_pylist()
-            seen = [evidence(features(t), k) for t, k in zip(b.column(1).to_pylist(), kinds)]
+            seen = [evidence(features(t), k) for t, k in zip(strings(b.column(1)), kinds)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s[0] for s in seen], pa.list_(pa.int32())), pa.array([s[1] for s in seen], pa.float64())],
                                              names=["toxic", "top", "others"])
 
@@ -294,15 +304,19 @@ def scorer(model: tuple) -> Callable[[Column | str], Column]:
     """A column function: text to the probability that it is toxic."""
     costs, evidence, weights = model
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        if weights is None:
-            return pd.Series(np.zeros(len(texts)))
+    def sums_of(texts: pa.Array) -> np.ndarray:
         read, sums = Restorer(costs), []
-        for text in texts:
+        for text in strings(texts):
             top, others = evidence(features(read(text))) if text else ([], 0.0)
             sums.append(weights[0] + weights[1] * others + sum(weights[2 + t] for t in sorted(top)))
-        give_back()
-        return pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums, float), -700, 700))))
+        return np.array(sums, float)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        if weights is None:
+            return pa.array(np.zeros(len(texts)))
+        sums = sums_of(texts)
+        give_back()  # what was read and remembered is free by now
+        return pa.array(1 / (1 + np.exp(-np.clip(sums, -700, 700))))
 
     return score

@@ -18,7 +18,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
@@ -60,9 +59,9 @@ def with_slots(docs: DataFrame, key: int = 0) -> tuple[DataFrame, int]:
         starts[p] = counts[p]
     starts = np.cumsum(starts) - starts
 
-    @F.pandas_udf("bigint")
-    def slot(part: pd.Series, place: pd.Series) -> pd.Series:
-        return pd.Series(feistel(starts[part.to_numpy()] + place.to_numpy(), n, key))
+    @F.arrow_udf("bigint")
+    def slot(part: pa.Array, place: pa.Array) -> pa.Array:
+        return pa.array(feistel(starts[part.to_numpy()] + place.to_numpy(), n, key))
 
     numbered = docs.withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     return numbered.withColumn("_slot", slot("_part", "_place")).drop("_part", "_place"), n

@@ -53,6 +53,12 @@ def test_obfuscated_words_are_restored(spark):
     assert len(read("a1" * 20000)) > 0
 
 
+def test_counts_do_not_depend_on_the_split(spark):
+    texts = ["a stupid " * 40 + str(i) for i in range(400)] + ["", None]
+    one, many = (trigram_counts(documents(spark, list(enumerate(texts))).repartition(n)) for n in (1, 7))
+    assert (one == many).all() and one.sum() == sum(len(t) + 2 for t in texts if t)
+
+
 def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(1, 200)] + [(None, 0, 1), (3, 1, None)], "doc_id bigint, quality int, toxic int")
     docs = documents(spark, [(i, f"plain words {'trash trash' if i % 2 == 0 else 'fine day'} number w{i}x") for i in range(1, 200)] +

@@ -143,3 +143,14 @@ def test_trie_and_bins_keep_every_similar_pair():
         assert union_find(ids, jaccard_trie.spanning_links(ids, sets, ids)) == union_find(ids, links)
         group = jaccard_trie.possible_groups(np.array([len(s) for s in sets]), [jaccard_trie.binned(s) for s in sets])
         assert all(group[i] == group[j] for i, j in links)
+
+
+def test_memory_in_work_is_bounded_by_the_block():
+    import tracemalloc
+    r = random.Random(2)
+    column = pa.array([" ".join(str(r.randrange(10 ** 6)) for _ in range(300)) for _ in range(3000)])
+    tracemalloc.start()
+    n = sum(int(bounds[-1]) for _, _, _, bounds in jaccard_trie._shingled(column))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 3000 * 297 and most < 32_000_000  # 72 MB with blocks of 2 MB
