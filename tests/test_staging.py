@@ -52,3 +52,43 @@ def test_only_lessons_of_another_shape_are_rewritten(spark):
     whole = "".join(r.value for r in texts.filter("path LIKE 'catalog/%'").collect())
     assert '"quiz_wrong"' not in whole and '"challenges_wrong"' not in whole and '"assessment":"@' not in whole
     assert all(x in whole for x in ('"quiz_blocks":{"a":1}', '"coding_challenges":"none"', '"assessment":{"gate":"listen to it"', '"assessment":{"gate":"write code"'))
+
+
+ODD = ['{"a": [1, {"b": "x"}]}', " 1 ", "null", '{"a": 1} x', '{"a": 1}, {"b": 2}', '1, "broken": "x"', '1]} {"v":[2', '{"a": "\\q"}', '{"a": 01}', "", "  ", '{"broken": "x", "v": 1}', None,
+       '{"modules": "x", "course": {"id": "c"}}', '{"modules": [1, {"id": "m"}], "course": {"id": "c"}}', '{"course": {"id": "c"}} ]}', '{"course": {"length_target": {"hours": "x"}}}',
+       '\n\t {"course": {"id": "d"}}\n', '[{"course": {}}]', "{}", '{"_mark": "z", "course": {"id": "e"}}', '{}],"v":[{}', '{"course": {"id": "f"}', '{"course": {"id": "g"}}, "x": 1',
+       '{"lessons": [1, "a", {"b": 2.50, "b": 3}, null]}', '{"lessons": {"a": 1}, "course": {"id": "h"}}', '{"course": {"id": "x"}, "course": {"id": "y"}}', "{'a': 1}", '{"course": null}', '"str"']
+
+
+def test_a_manifest_is_checked_and_parsed_by_one_reading(spark):
+    from lectern import schemas
+    from lectern.functions.text import JSON_OPTIONS, is_json
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(f"p{n:02}", t) for n, t in enumerate(ODD)], "path string, value string")
+    manifests, rejects = parse_manifests(df)
+    plain = df.filter(is_json(F.col("value")) & F.col("value").rlike(r"\A\s*\{")).select("path", F.from_json("value", schemas.MANIFEST, JSON_OPTIONS).alias("m"))
+    assert sorted(map(repr, manifests.select("path", "m").collect())) == sorted(map(repr, plain.collect()))
+    assert manifests.count() + rejects.filter("path <> 'p12'").count() == len(ODD) - 1  # a null text is neither
+    plan = manifests._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "from_json(" in line]
+
+
+def test_derived_lessons_are_written_once_and_their_lines_cut_once(spark):
+    from oracle import manifest_data as md
+    plan = md.texts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJson") == 2  # of a lesson, of the rest
+    assert "element_at(" not in plan  # split_part is one
+
+
+def test_a_source_of_one_row_group_is_spread_however_many_splits_it_has(spark, tmp_path):
+    from lectern.session import spread
+    path = str(tmp_path / "t")
+    spark.range(4000).selectExpr("id", "sha2(string(id), 512) AS x").coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() >= 8
+        assert sum(n > 0 for n in spread(df, "id").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) >= 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
