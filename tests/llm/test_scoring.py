@@ -179,3 +179,34 @@ def test_a_notice_word_for_word_is_confirmed_by_compression():
     assert (lo, hi, name, changes) == (1, len(own) - 1, "ISC", []) and saved > 0 and (hi - lo, "ISC") in asked
     scanner.saved = lambda part, name: 0.0
     assert scanner.exact(own, [1] * len(own)) == []
+
+
+def test_every_licence_line_of_a_block_is_in_a_row(spark):
+    """Lines and parts of lines that speak of other licences than the notices beside them are rows too."""
+    isc, bsd = TEMPLATES["ISC"], TEMPLATES["BSD"]
+    docs = [(0, "Released under the MIT License.\nThe Foo License holds too.\nmore"), (1, "Copyright X\n# Foo licence 3\n" + isc + "\nThe BAZ license holds.\n\nprose"),
+            (2, "Foo License 3. Released under the MIT License. See the Bar licence, too. Licensed under CC BY 4.0. Thanks"),
+            (3, "Foo license.\nRedistributions\n" + bsd.removeprefix("Redistribution ")), (4, "x\nReleased under the MIT License. Thanks\ny")]
+    got = {}
+    for x in scanned(documents(spark, docs)).collect():
+        got.setdefault(x.doc_id, []).append((x.block_no, x.license, x.block))
+    assert got == {
+        0: [(0, "MIT-notice", "Released under the MIT License."), (0, None, "The Foo License holds too.")],
+        1: [(0, None, "Copyright X\n# Foo licence 3"), (0, "ISC", isc), (0, None, "The BAZ license holds.")],
+        2: [(0, None, "Foo License 3. "), (0, "MIT-notice", "Released under the MIT License. "), (0, None, "See the Bar licence, too. "),
+            (0, "CC-BY-4.0", "Licensed under CC BY 4.0. Thanks")],
+        3: [(0, None, "Foo license."), (0, "BSD", "Redistributions\n" + bsd.removeprefix("Redistribution "))],
+        4: [(0, "MIT-notice", "Released under the MIT License. Thanks")]}
+    assert Scanner(TEMPLATES).scan("Foo license. Released under the MIT License.")[:2] == ("exact", "MIT-notice")
+
+
+def test_damaged_copies_of_one_notice_are_told_apart():
+    scanner, w = Scanner(TEMPLATES), TEMPLATES["GPL-3.0"].split()
+    first, second = " ".join([*w[:22], "X", *w[23:]]), " ".join([*w[:20], "Y", *w[21:]])
+    for a, b in ((first, second), (second, first)):
+        for between in (" ", "\nwords between\n"):
+            text = a + between + b
+            rows = scanner.scan_text(text, [i for i, x in enumerate(text.split("\n")) if "License" in x])
+            assert [(x[2], x[3], len(x[5])) for x in rows] == [("close", "GPL-3.0", 2)] * 2
+    lone = "\n".join(f"REM {x}" for x in "one two three four five six seven eight nine ten aa bb cc dd ee ff gg hh ii License".split())
+    assert Scanner({"L": lone.replace("REM ", "").replace("\n", " ")}).scan_text(lone.replace("nine", "nine of"), [19])[0][3] == "L"
