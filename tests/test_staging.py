@@ -92,3 +92,52 @@ def test_a_source_of_one_row_group_is_spread_however_many_splits_it_has(spark, t
         assert sum(n > 0 for n in spread(df, "id").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) >= 8
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lesson_documents_of_staged_lessons_need_no_join(spark):
+    from lectern.operators import documents, publish
+    from oracle import manifest_data as md
+    t = md.tables(spark, SF)
+    meta = publish.publish_meta(t["courses"])
+    staged, joined = documents.lesson_documents(t["published_lessons"]), documents.lesson_documents(t["lessons"], t["modules"], t["courses"], meta)
+    columns = ["course_id", "lesson_id", "lesson_pos", "path", "text"]
+    assert _rows(staged.select(*columns)) == _rows(joined.select(*columns)) and staged.count() > 100
+    assert "Join" not in _plan(staged) and "Exchange" not in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_course_documents_of_staged_lessons_are_those_of_the_manifests(spark):
+    from lectern.operators import documents, publish
+    from oracle import manifest_data as md
+    t = md.tables(spark, SF)
+    meta = publish.publish_meta(t["courses"])
+    staged, plain = documents.course_publish_documents(t["manifests"], meta, t["lessons"]), documents.course_publish_documents(md.manifests(spark, SF), meta)
+    assert _rows(staged.select("course_id", "text")) == _rows(plain.select("course_id", "text")) and staged.count() > 10
+    bare = spark.createDataFrame([("p", '{"course":{"id":"c"},"modules":[{"id":"m"}],"lessons":[]}')], "path string, value string")
+    bare_t = catalog_tables(parse_manifests(bare)[0])
+    assert _rows(documents.course_publish_documents(parse_manifests(bare)[0], publish.publish_meta(bare_t["courses"]), bare_t["lessons"])) == _rows(
+        documents.course_publish_documents(parse_manifests(bare)[0], publish.publish_meta(bare_t["courses"])))
+
+
+
+
+
+
+def test_a_source_of_many_files_is_not_shuffled(spark, tmp_path):
+    from lectern.session import spread
+    wanted = 2 * spark.sparkContext.defaultParallelism
+    for files, moved in ((wanted, False), (wanted - 1, True)):
+        path = str(tmp_path / str(files))
+        spark.range(4000).repartition(files).write.parquet(path)
+        df = spread(spark.read.parquet(path), "id")
+        assert ("Repartition" in _plan(df)) is moved and df.count() == 4000
