@@ -129,8 +129,47 @@ def test_course_documents_of_staged_lessons_are_those_of_the_manifests(spark):
         documents.course_publish_documents(parse_manifests(bare)[0], publish.publish_meta(bare_t["courses"])))
 
 
-
-
+def test_rules_on_what_lessons_name_share_one_join(spark):
+    from lectern.operators import course, graph
+    from lectern.operators.flags import union
+    from oracle import manifest_data as md
+    t = md.tables(spark, SF)
+    apart = union(graph.forward_lesson_deps(t["prereqs"], t["lessons"]), graph.untaught_skills(t["prereqs"], t["first_taught"]),
+                  graph.late_skills(t["prereqs"], t["first_taught"]), graph.unresolved_prereqs(t["prereqs"]))
+    together = graph.prereq_flags(t["lessons"], t["nodes"], t["teaches"])
+    assert _rows(together) == _rows(apart) and {x.rule for x in together.collect()} == {"forward_lesson_dep", "untaught_skill", "late_skill", "unresolved_prereq"}
+    assert _rows(course.consumes_flags(t["artifacts"])) == _rows(union(course.unknown_consumes(t["artifacts"]), course.backward_consumes(t["artifacts"])))
+    assert sum("Generate" in line and "prerequisites" in line for line in _plan(graph.dag_flags(t)).splitlines()) == 1
+    assert sum("Generate" in line and "consumes" in line for line in _plan(course.artifact_flags(t)).splitlines()) == 2
+
+
+def test_raw_texts_of_lessons_are_read_where_parsing_leaves_a_doubt(spark):
+    from lectern.operators import briefs, quiz
+    texts = ['{"id":"a","brief":{"difficulty":"7","quiz_blocks":[],"coding_challenges":{"a":1}}}', '{"id":"b","brief":{"difficulty":7,"quiz_blocks":null}}',
+             '{"id":"c","brief":{"difficulty":2,"quiz\\u005fblocks":"x"}}', '{"id":"d","brief":{"difficulty":2.5,"coding_challenges":[1]}}', '{"id":"e","brief":{"difficulty":0}}',
+             '{"id":"f","brief":{"difficulty":"x","quiz_blocks":3}}', '{"id":"g"}', '{"id":"h","brief":{"difficulty":-1}}']
+    rows = spark.createDataFrame([("p", '{"course":{"id":"c"},"lessons":[' + ",".join(texts) + "]}")], "path string, value string")
+    t = catalog_tables(parse_manifests(rows)[0])
+    assert sorted((x.subject, x.detail) for x in briefs.bad_difficulty(t["briefs"]).collect()) == [("b", "7"), ("e", "0"), ("h", "-1")]
+    assert sorted((x.subject, x.detail) for x in quiz.not_a_list(t["lessons"]).collect()) == [("a", "coding_challenges"), ("c", "quiz_blocks"), ("f", "quiz_blocks")]
+    assert "(difficulty,LongType,true)),true), CASE WHEN" in _plan(briefs.bad_difficulty(t["briefs"]))
+    assert "get_json_object(CASE WHEN" in _plan(quiz.not_a_list(t["lessons"]))
+
+
+def test_a_short_list_of_phrases_is_found_in_each_row(spark):
+    from lectern.operators import blocklist
+    texts = spark.createDataFrame([(1, "A Movie REVIEW, a movie review"), (2, None), (3, "été x"), (4, ""), (1, "x")], "id int, text string")
+    found = blocklist.hits(texts, ["id"], "text", spark.createDataFrame([("movie review",), ("x",), ("été",), ("",), ("x",)], "phrase string"))
+    assert sorted(map(tuple, found.collect())) == [(1, "movie review"), (1, "x"), (3, "x"), (3, "été")]
+    assert "Join" not in _plan(found) and "MapInArrow" not in _plan(found)
+
+
+def test_challenge_files_come_from_one_pass_over_the_documents(spark):
+    from oracle import manifest_queries as mq
+    from lectern.operators.flags import union
+    got = mq.challenge_files(spark, SF)
+    assert _rows(got.distinct()) == _rows(union(*[spark.sql(f.replace("{0}", "{l}"), l=mq.lines(spark, SF)) for f in mq.FILES]).distinct())
+    assert _plan(got).count("Relation [") == 1
 
 
 def test_a_source_of_many_files_is_not_shuffled(spark, tmp_path):
