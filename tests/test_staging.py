@@ -175,8 +175,13 @@ def test_challenge_files_come_from_one_pass_over_the_documents(spark):
 def test_a_source_of_many_files_is_not_shuffled(spark, tmp_path):
     from lectern.session import spread
     wanted = 2 * spark.sparkContext.defaultParallelism
-    for files, moved in ((wanted, False), (wanted - 1, True)):
-        path = str(tmp_path / str(files))
-        spark.range(4000).repartition(files).write.parquet(path)
-        df = spread(spark.read.parquet(path), "id")
-        assert ("Repartition" in _plan(df)) is moved and df.count() == 4000
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for files, split, moved in ((wanted, 1 << 12, False), (wanted - 1, 1 << 12, True), (wanted, 1 << 27, True)):
+            path = str(tmp_path / f"{files}-{split}")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            spark.range(4000).repartition(files).write.parquet(path)
+            df = spread(spark.read.parquet(path), "id")
+            assert ("Repartition" in _plan(df)) is moved and df.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
